@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.dates import INDONESIAN_MONTHS, INDONESIAN_SHORT_MONTHS, INDONESIAN_WEEKDAYS
 from tillroll.functions.text import bind, extract_domain, parse_addr
+from tillroll.session import spread
 
 
 def _swap(c: Column, mapping: dict[str, str]) -> Column:
@@ -40,7 +41,7 @@ def orders_base(spark: SparkSession, sf: str) -> DataFrame:
         F.broadcast(read("region")), F.col("n_regionkey") == F.col("r_regionkey")
     )
     base = (
-        read("orders")
+        spread(read("orders"))
         .join(read("customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(F.broadcast(places), F.col("c_nationkey") == F.col("n_nationkey"))
     )

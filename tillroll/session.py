@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = 8, app: str = "tillroll", memory: str = "8g") -> SparkSession:
@@ -24,6 +24,16 @@ def local_session(cpus: int | str = 8, app: str = "tillroll", memory: str = "8g"
     )
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a small input over all cores; a large input is returned as it is.
+
+    One small file is one task however costly its rows are. Inputs that already have a partition per
+    core keep their layout, so nothing is shuffled at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names; a temporary one only in local mode."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
