@@ -103,7 +103,7 @@ def _runs(values: Column) -> Column:
             lambda at: F.transform(
                 at,
                 lambda p, j: F.struct(
-                    F.get(s, p).alias("term"),
+                    F.get(s, p).alias("value"),
                     (F.coalesce(F.get(at, j + 1), F.size(s)) - p).alias("tf"),
                 ),
             ),
@@ -136,24 +136,33 @@ def tfidf(
     """
     table = fitted if fitted is not None else idf_table(df, id, tokens, k, mode)
     held = df.select(id, F.col(tokens).alias("_t"), _table(table, "term", "idf").alias("_v"))
-    known = held.select(
-        id, "_v", _runs(F.filter("_t", lambda t: _entry(F.col("_v"), t).isNotNull())).alias("_r")
-    )
-    weighted = known.select(
-        id,
-        F.transform(
-            "_r",
+
+    # Every array below is bound before a lambda uses it: an expression named inside a lambda would be
+    # computed again for each element. The table is named once, so that it stays one constant and is
+    # not copied into every row.
+    def weigh(runs: Column) -> Column:
+        return F.transform(
+            runs,
             lambda r: F.struct(
-                r["term"].alias("term"), (r["tf"] * _entry(F.col("_v"), r["term"])["idf"]).alias("value")
+                r["value"]["term"].alias("term"), (r["tf"] * r["value"]["idf"]).alias("value")
             ),
-        ).alias("_w"),
+        )
+
+    def scale(weighted: Column) -> Column:
+        norm = F.sqrt(F.reduce(weighted, F.lit(0.0), lambda acc, w: acc + w["value"] * w["value"]))
+        return bind(
+            norm,
+            lambda n: F.transform(
+                weighted, lambda w: F.struct(w["term"].alias("term"), (w["value"] / n).alias("value"))
+            ),
+        )
+
+    found = F.transform(
+        "_t", lambda t: F.struct(t.alias("term"), _entry(F.col("_v"), t)["idf"].alias("idf"))
     )
+    weighted = weigh(bind(F.filter(found, lambda f: f["idf"].isNotNull()), _runs))
     if mode == "smooth_l2":
-        norm = F.sqrt(F.reduce("_w", F.lit(0.0), lambda acc, w: acc + w["value"] * w["value"]))
-        weighted = weighted.select(id, "_w", norm.alias("_n")).select(
-            id,
-            F.transform(
-                "_w", lambda w: F.struct(w["term"].alias("term"), (w["value"] / F.col("_n")).alias("value"))
-            ).alias("_w"),
-        )
-    return weighted.select(id, F.inline("_w"))
+        weighted = bind(weighted, scale)
+    rows = held.select(id, weighted.alias("_w"))
+    # a computed generator input: Spark would add a filter on a bare column and compute it twice
+    return rows.select(id, F.inline(F.filter("_w", lambda w: w["value"].isNotNull())))
