@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.functions.text import bind
+
 # Indonesian month names and abbreviations, and weekday names.
 INDONESIAN_MONTHS = {
     "Januari": "January",
@@ -45,7 +47,12 @@ INDONESIAN_WEEKDAYS = {
     "Minggu": "Sunday",
 }
 
-_MONTH_WORDS = {**INDONESIAN_SHORT_MONTHS, **INDONESIAN_MONTHS, "Mei": "May", "Sept": "Sep"}
+_MONTH_WORDS = {
+    **{english: english[:3] for english in INDONESIAN_MONTHS.values()},
+    **INDONESIAN_SHORT_MONTHS,
+    **{local: english[:3] for local, english in INDONESIAN_MONTHS.items()},
+    "Sept": "Sep",
+}
 _ZONE = r"(?i)\s*(?:\((?:UTC|GMT)[^)]*\)|\b(?:WIB|WITA|WIT)\b|\b(?:GMT|UTC)(?:\s*[+-]\d{1,2}(?::?\d{2})?)?)"
 _WEEKDAY = r"(?iU)\b(?:{})\b,?\s*".format(
     "|".join([*INDONESIAN_WEEKDAYS, *INDONESIAN_WEEKDAYS.values()])
@@ -53,7 +60,10 @@ _WEEKDAY = r"(?iU)\b(?:{})\b,?\s*".format(
 
 
 def english_month(c: Column) -> Column:
-    """Turn the first word of a date into the English month name (one map lookup, no regex chain)."""
+    """Turn the first word of a date into a three-letter English month (one map lookup).
+
+    With one spelling left, one format is enough: a format that does not fit costs an exception.
+    """
     lookup = F.create_map(*(F.lit(x) for pair in _MONTH_WORDS.items() for x in pair))
     word = F.regexp_extract(c, "[A-Za-z]{3,}", 0)
     return F.replace(c, word, F.coalesce(F.try_element_at(lookup, word), word))
@@ -74,7 +84,9 @@ def parse_ts(c: Column, *formats: str) -> Column:
 
 def parse_local_ts(c: Column, *formats: str) -> Column:
     """Weekday and zone dropped, Indonesian month translated, then parsed."""
-    return parse_ts(F.trim(english_month(strip_zone(strip_weekday(c)))), *formats)
+    short = dict.fromkeys(f.replace("MMMM", "MMM") for f in formats)
+    text = bind(strip_zone(strip_weekday(c)), lambda t: F.trim(english_month(t)))
+    return bind(text, lambda t: parse_ts(t, *short))
 
 
 def timestamp_id(c: Column) -> Column:

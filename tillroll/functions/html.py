@@ -36,11 +36,12 @@ ENTITIES = {
     "middot": "*",
 }
 
-_HIDDEN = r"(?is)<!--.*?-->|<(script|style|head)\b[^>]*>.*?</\1\s*>|<![^>]*>"
-_BREAKS = r"(?i) ?<(?:br|hr|/tr|/li|/dt|/dd|/caption)\b[^>]*> ?"
+# Every pattern starts with a plain "<": the regex engine then skips text at the speed of a scan.
+_HIDDEN = r"(?is)<(?:!--.*?--|(script|style|head)\b.*?</\1\s*|![^>]*)>"
+_BREAKS = r"(?i)<(?:br|hr|/(?:tr|li|dt|dd|caption))\b[^>]*>"
 _BLOCKS = (
-    r"(?i) ?</?(?:p|div|table|ul|ol|dl|section|article|header|footer|nav|main|blockquote|pre|form|"
-    r"body|html|address)\b[^>]*> ?| ?</h[1-6]\s*> ?"
+    r"(?i)<(?:/?(?:p|div|table|ul|ol|dl|section|article|header|footer|nav|main|blockquote|pre|form|"
+    r"body|html|address)\b[^>]*|/h[1-6]\s*)>"
 )
 
 
@@ -77,20 +78,25 @@ def html_to_text(c: Column) -> Column:
     t = F.regexp_replace(t, "[ \\t\\r\\n\\f]+", " ")
     t = F.regexp_replace(t, _BREAKS, "\n")
     t = F.regexp_replace(t, _BLOCKS, "\n\n")
-    t = F.regexp_replace(t, r"(?i)<h([1-6])\b[^>]*>", "\n\n\u0001$1")
-    for level in range(1, 7):
-        t = F.replace(t, F.lit(f"\u0001{level}"), F.lit("#" * level + " "))
-    t = F.regexp_replace(t, r"(?i) ?<li\b[^>]*> ?", "\n* ")
+    t = bind(t, lambda x: F.when(x.rlike("<[hH][1-6]"), _headings(x)).otherwise(x))
+    t = F.regexp_replace(t, r"<[lL][iI]\b[^>]*>", "\n* ")
     t = F.regexp_replace(t, r"<[A-Za-z/][^>]*>", "")
-    t = F.translate(unescape(t), "\u00a0", " ")
+    t = F.replace(unescape(t), F.lit("\u00a0"), F.lit(" "))
     t = F.regexp_replace(t, " *\\n *", "\n")
     t = F.regexp_replace(t, "\\n{3,}", "\n\n")
     return F.btrim(t, F.lit(" \n"))
 
 
+def _headings(c: Column) -> Column:
+    c = F.regexp_replace(c, r"<[hH]([1-6])\b[^>]*>", "\n\n\u0001$1")
+    for level in range(1, 7):
+        c = F.replace(c, F.lit(f"\u0001{level}"), F.lit("#" * level + " "))
+    return c
+
+
 def _cell_text(c: Column) -> Column:
     bare = F.regexp_replace(c, r"(?is)<!--.*?-->|<[A-Za-z/][^>]*>", " ")
-    return F.btrim(F.regexp_replace(F.translate(unescape(bare), "\u00a0", " "), "\\s+", " "))
+    return F.btrim(F.regexp_replace(F.replace(unescape(bare), F.lit("\u00a0"), F.lit(" ")), "\\s+", " "))
 
 
 def _table_sources(html: str) -> Column:

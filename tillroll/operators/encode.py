@@ -5,19 +5,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tillroll.operators.ranking import numbered
+
 MAX_DUMMIES = 10_000
 
 
 def fit_labels(df: DataFrame, col: str) -> DataFrame:
-    """``(label, idx)``: the distinct labels in alphabetical order, numbered from 0.
-
-    The single-task window sees one row per class, not one per record.
-    """
+    """``(label, idx)``: the distinct labels in alphabetical order, numbered from 0."""
     labels = df.where(F.col(col).isNotNull()).select(F.col(col).cast("string").alias("label")).distinct()
-    return labels.withColumn("idx", (F.row_number().over(W.orderBy("label")) - 1).cast("int"))
+    return numbered(labels, F.col("label"), "idx").withColumn("idx", F.col("idx") - 1)
 
 
 def encode_label(df: DataFrame, *cols: str, labels: dict[str, DataFrame] | None = None) -> DataFrame:
@@ -51,14 +49,20 @@ def argmax(probabilities: Column) -> Column:
 def fit_categories(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``(col, value, n, idx)`` by falling frequency from 1; id 0 is for unknown values.
 
-    All columns are counted in one pass; a window group holds the distinct values of one column.
+    Ties go to the later value. All columns are counted in one pass, then numbered one by one.
     """
     pairs = F.array(
-        *(F.struct(F.lit(c).alias("col"), F.coalesce(F.col(c).cast("string"), F.lit("nan")).alias("value")) for c in cols)
+        *(
+            F.struct(F.lit(c).alias("col"), F.coalesce(F.col(c).cast("string"), F.lit("nan")).alias("value"))
+            for c in cols
+        )
     )
     counts = df.select(F.inline(pairs)).groupBy("col", "value").agg(F.count("*").alias("n"))
-    order = W.partitionBy("col").orderBy(F.desc("n"), F.desc("value"))
-    return counts.withColumn("idx", F.row_number().over(order))
+    out = None
+    for c in cols:
+        own = numbered(counts.where(F.col("col") == c), F.struct("n", "value"), "idx", descending=True)
+        out = own if out is None else out.unionByName(own)
+    return out
 
 
 def encode_category(df: DataFrame, cols: Sequence[str], fitted: DataFrame | None = None) -> DataFrame:

@@ -130,7 +130,7 @@ def parse_receipts(
         ),
     )
     explode = F.explode_outer if outer else F.explode
-    plain = F.translate(F.col("body_text"), "\u00a0", " ")
+    plain = F.replace(F.col("body_text"), F.lit("\u00a0"), F.lit(" "))
     provider = F.col("_slot")["provider"]
     bodies = emails.select(
         "message_id", "body_html", "body_text", *keep, explode(slot).alias("_slot")

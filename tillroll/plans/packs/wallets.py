@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tillroll.plans.packs.common import COMMA_MINUTES, DAY, NO_TEXT
+from tillroll.plans.packs.common import ANY_YEAR, COMMA_MINUTES, DAY, MONTH_DAY_SECONDS, NO_TEXT
 from tillroll.plans.rule import (
     Rule,
     cell,
@@ -52,14 +52,7 @@ OVO = Rule(
     flat=True,
     money="M3",
     fee_money="M1",
-    dates=(
-        "d MMM yy, H:mm",
-        "d MMM yyyy, H:mm",
-        "d MMM yy, H:mm:ss",
-        "d MMM yyyy, H:mm:ss",
-        "d MMM yy",
-        "d MMM yyyy",
-    ),
+    dates=ANY_YEAR,
     texts={
         "trx_id": find(r"No\. Resi \(Kode Transaksi\)\s*(\S+)"),
         "date": find(r"(\d{2}\s[A-Za-z]{3}\s\d{2,4}(?:,\s\d{2}:\d{2}(?::\d{2})?)?)"),
@@ -114,7 +107,7 @@ PAYPAL = (
         variant="sent",
         when=says_folded("anda mengirim", "you sent"),
         money="M5",
-        dates=(*DAY, "MMM d, yyyy H:mm:ss"),
+        dates=(*DAY, *MONTH_DAY_SECONDS),
         texts={
             **_PAYPAL_SHARED,
             "amount": find(*_PAYPAL_SENT, group=1),
