@@ -186,7 +186,8 @@ _SIDES = ("train", "test")
 
 
 @query("""
-SELECT side, sum("F") AS "F", sum("O") AS "O", sum("P") AS "P" FROM (
+SELECT side, CAST(sum("F") AS BIGINT) AS "F", CAST(sum("O") AS BIGINT) AS "O",
+  CAST(sum("P") AS BIGINT) AS "P" FROM (
   SELECT CASE WHEN o_orderstatus = 'P' THEN 'test' ELSE 'train' END AS side,
     CAST(o_orderstatus = 'F' AS INTEGER) AS "F", CAST(o_orderstatus = 'O' AS INTEGER) AS "O",
     CAST(o_orderstatus = 'P' AS INTEGER) AS "P" FROM orders) GROUP BY side""")

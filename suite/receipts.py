@@ -141,6 +141,14 @@ def is_proper(spark, sf):
     return route.is_proper(tx).groupBy("provider", "variant", "proper").agg(F.count("*").alias("n"))
 
 
+@query(ORACLES["gate"])
+def gate_inline(spark, sf):
+    """The score on the mails themselves: a filter, no join."""
+    emails = render_emails(spark, sf)
+    number = F.regexp_extract("message_id", "^([0-9]+)", 1).cast("bigint")
+    return extract.gate(emails.withColumn("score", (number % 10) / 10), threshold=0.5).select("message_id")
+
+
 _SENDERS = {
     "bca.co.id": "0", "bri.co.id": "1, 2, 3, 4, 5, 6, 7", "accts.epicgames.com": "8",
     "invoicing.gojek.com": "9", "google.com": "10", "grab.com": "11, 12",
@@ -156,8 +164,8 @@ _DOMAIN = "CASE " + " ".join(f"WHEN vi IN ({v}) THEN '{d}'" for d, v in _SENDERS
 SELECT message_id, {_DOMAIN} AS from_domain,
   CASE WHEN k % 23 = 0 AND vi <> 13 THEN 'unparsed' WHEN k % 17 = 0 THEN 'improper' ELSE 'proper' END
     AS status,
-  CASE WHEN k % 23 = 0 AND vi <> 13 THEN 0 ELSE 1 END AS n_rows,
-  CASE WHEN (k % 23 = 0 AND vi <> 13) OR k % 17 = 0 THEN 0 ELSE 1 END AS n_proper
+  CAST(CASE WHEN k % 23 = 0 AND vi <> 13 THEN 0 ELSE 1 END AS BIGINT) AS n_rows,
+  CAST(CASE WHEN (k % 23 = 0 AND vi <> 13) OR k % 17 = 0 THEN 0 ELSE 1 END AS BIGINT) AS n_proper
 FROM msgs WHERE k % 23 <> 0 OR vi = 13 OR (k % 10) / 10.0 > 0.5"""))
 def route_messages(spark, sf):
     emails = render_emails(spark, sf)

@@ -201,7 +201,7 @@ def plan_of(df) -> str:
 def test_extraction_plan_is_one_narrow_job(emails):
     plan = plan_of(extract.extract_transactions(emails))
     assert "Exchange" not in plan and "Python" not in plan
-    assert plan.count("<!--.*?-->|<(script") == 1  # the body is turned to text once
+    assert plan.count("!--.*?--|(script") == 1  # the body is turned to text once
     assert plan.count("GPA") == 1  # and searched once per field
     read = re.search(r"ReadSchema: struct<([^>]*)>", plan).group(1)
     assert "from_header" not in read and "from_domain" not in read
@@ -216,3 +216,15 @@ def test_dedup_shuffles_once(emails):
     plan = plan_of(route.dedup_transactions(extract.extract_transactions(emails)))
     assert plan.count("Exchange") == 1
     assert plan.count("partial_min") >= 1
+
+
+def test_gate_with_scores(emails):
+    plain = extract.gate(emails)
+    ids = emails.select("message_id")
+    inline = extract.gate(emails.withColumn("score", F.lit(0.9)))
+    assert inline.count() == emails.count() > plain.count()
+    assert "Exchange" not in plan_of(inline)
+    low = extract.gate(emails, ids.withColumn("score", F.lit(0.5)))
+    assert low.count() == plain.count()  # strictly above the threshold
+    high = extract.gate(emails, ids.withColumn("score", F.lit(0.51)))
+    assert high.count() == emails.count()

@@ -65,18 +65,20 @@ def gate(
 ) -> DataFrame:
     """Keep mails a rule claims, or whose title scores above the threshold.
 
-    ``scored`` holds ``(message_id, score)``. Without it only the rules decide.
+    A ``score`` column on the mails themselves (as ``score_titles`` adds it) keeps this a filter. Scores
+    in a frame of their own, ``scored`` with ``(message_id, score)``, are joined to the unclaimed mails
+    only, so the claimed ones are not shuffled. Without scores the rules alone decide.
     """
     out = emails if "providers" in emails.columns else match_providers(emails, rules)
     claimed = F.size("providers") > 0
-    if scored is None:
-        return out.where(claimed)
-    likely = scored.where(F.col("score") > F.lit(threshold)).select("message_id").distinct()
-    return (
-        out.join(likely.withColumn("_likely", F.lit(True)), "message_id", "left")
-        .where(claimed | F.col("_likely"))
-        .drop("_likely")
-    )
+    if scored is not None:
+        likely = scored.where(F.col("score") > F.lit(threshold)).select("message_id")
+        return out.where(claimed).unionByName(
+            out.where(~claimed).join(likely, "message_id", "left_semi")
+        )
+    if "score" in emails.columns:
+        claimed = claimed | F.coalesce(F.col("score") > F.lit(threshold), F.lit(False))
+    return out.where(claimed)
 
 
 def _case(pairs: Sequence[tuple[Column, Column]], otherwise: Column | None = None) -> Column:

@@ -17,6 +17,11 @@ MAX_VOCABULARY = 100_000
 _BUCKETS = 256
 
 
+def _terms(tokens: str) -> Column:
+    """One row per token. For a bare column Spark would infer a filter and tokenise every text twice."""
+    return F.explode(F.filter(tokens, lambda t: t.isNotNull()))
+
+
 def term_stats(df: DataFrame, id: str, tokens: str, unique: bool = False) -> DataFrame:
     """``(term, tf, df)``: occurrences, and documents with the term.
 
@@ -35,7 +40,7 @@ def term_stats(df: DataFrame, id: str, tokens: str, unique: bool = False) -> Dat
             .agg(F.sum("n").alias("tf"), F.sum("d").alias("df"))
         )
     return (
-        df.select(id, F.explode(tokens).alias("term"))
+        df.select(id, _terms(tokens).alias("term"))
         .groupBy(id, "term")
         .agg(F.count("*").alias("n"))
         .groupBy("term")
@@ -55,7 +60,7 @@ def build_vocab(df: DataFrame, tokens: str, k: int = 1024, reserved: int = 2) ->
 
     ``k`` counts the reserved ids (padding and unknown), as the size of an embedding would.
     """
-    counts = df.select(F.explode(tokens).alias("term")).groupBy("term").agg(F.count("*").alias("tf"))
+    counts = df.select(_terms(tokens).alias("term")).groupBy("term").agg(F.count("*").alias("tf"))
     best = top_terms(counts, k - reserved)
     # the window sees at most k rows
     rank = F.row_number().over(W.orderBy(F.desc("tf"), F.desc("term")))
