@@ -119,10 +119,10 @@ ORACLES = {
                CAST(sum(n) AS BIGINT) AS formatted_chars
         FROM e GROUP BY conv_id""",
     "op6_top_k": """
-        WITH v AS (SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
-                   WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+                   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
              s AS (SELECT q.vec_id AS query_id, c.vec_id,
-                          CAST(list_sum(list_transform(list_zip(q.v, c.v), p -> p[1] * p[2])) AS BIGINT) AS score
+                          CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
                    FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
              r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5""",
@@ -131,12 +131,12 @@ ORACLES = {
                           CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 12) AS BIGINT) AS h FROM documents),
              s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
              w AS (SELECT *, [5.0, 2.0, 1.0][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3]::DOUBLE AS weight, 3 * source_size AS room FROM s),
-             o AS (SELECT *, row_number() OVER z AS at,
+             o AS (SELECT *, row_number() OVER z AS pos,
                           sum(source_size) OVER () - coalesce(sum(room) OVER (z ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
                           sum(weight) OVER () - coalesce(sum(weight) OVER (z ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS weights
                    FROM w WINDOW z AS (ORDER BY room / weight, source NULLS LAST)),
-             l AS (SELECT at AS level_at, rest AS level_rest, weights AS level_weights FROM o WHERE rest * weight <= room * weights ORDER BY at LIMIT 1),
-             t AS (SELECT source, source_size, CASE WHEN at >= level_at THEN weight * CAST(level_rest AS DOUBLE) / level_weights ELSE CAST(room AS DOUBLE) END AS target FROM o, l),
+             l AS (SELECT pos AS level_pos, rest AS level_rest, weights AS level_weights FROM o WHERE rest * weight <= room * weights ORDER BY pos LIMIT 1),
+             t AS (SELECT source, source_size, CASE WHEN pos >= level_pos THEN weight * CAST(level_rest AS DOUBLE) / level_weights ELSE CAST(room AS DOUBLE) END AS target FROM o, l),
              b AS (SELECT *, CASE WHEN source_size = 0 THEN 0 ELSE CAST(floor(target / source_size) AS BIGINT) END AS rounds FROM t),
              k AS (SELECT source, h, sum(size) AS words FROM d GROUP BY source, h),
              c AS (SELECT *, sum(words) OVER (PARTITION BY source ORDER BY h) - words AS before FROM k)
