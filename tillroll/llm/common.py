@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Iterator
 
@@ -49,6 +50,13 @@ def cut(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: the cut for what is large, compressed and read by column."""
+    path = f"{work_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def work_folder(spark: SparkSession) -> str:
     """The session's checkpoint folder, set from ``spark.checkpoint.dir``; a new one only where that is unset."""
     sc = spark.sparkContext

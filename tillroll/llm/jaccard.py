@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import cut, mix, ship, slices
+from tillroll.llm.common import cut, mix, ship, slices, stored
 from tillroll.llm.components import components
 
 #: Documents whose shingles show which ones are common, and how many of them must hold one.
@@ -39,7 +39,8 @@ _SHARDS = 64
 #: Shingles of a band's largest set in each partition; in bands of small sets each shingle is one.
 _FILL = {False: 1.0, True: 2.0}
 _SMALL, _LARGE = 64, 256
-_CELLS = 256
+#: Least and most bits of the cells that a set is counted by.
+_CELL_BITS = 6, 16
 _BLOCK = 1 << 20
 
 _WHITE = np.zeros(256, dtype=bool)
@@ -198,8 +199,9 @@ def _common(docs: DataFrame, width: int, n: int) -> np.ndarray:
 
 
 def _collisions(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """A row for each document, ``(doc, node, size)``, and one for each set and signature that another set shares,
-    ``(g, node, size, rep, rep_size)``; ``rep`` is the smallest node of the group."""
+    """What the signatures tell, by ``kind``: ``DOC`` a row of ``docs`` (``a`` its node, ``c`` its id, with the counts
+    by cell), ``STAR`` a candidate pair (``a``, ``b``) of the first node of a group and another one that its size
+    allows, ``MEMBER`` a node ``b`` of a group ``a`` of three or more."""
     common = _common(docs, width, docs.count())
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,8 +213,7 @@ def _collisions(docs: DataFrame, width: int, percent: int) -> DataFrame:
                 sizes = np.array([len(s) for s in sets], dtype=np.int32)
                 ids = part.column("doc_id")
                 spread = mix(np.arange(len(nodes), dtype=np.uint64) + nodes.view(np.uint64)).view(np.int64)
-                none = pa.nulls(len(nodes), pa.int64())
-                yield _rows(spread, nodes, -1 - sizes, ids, none)
+                yield _signed(spread, nodes, -1 - sizes, ids, pa.array([_cells(s) for s in sets], pa.binary()))
                 new = []
                 for i, ok in enumerate(ids.is_valid().to_pylist()):
                     if ok and sizes[i] and nodes[i] not in seen:
@@ -228,43 +229,63 @@ def _collisions(docs: DataFrame, width: int, percent: int) -> DataFrame:
                 shard = (nodes[who].view(np.uint64) % np.uint64(_SHARDS) + np.uint64(1)) * _STEP
                 g = np.where(plain, mix(sig ^ shard), sig).view(np.int64)
                 whole = pa.array(sig.view(np.int64), mask=~plain)
-                yield _rows(g, nodes[who], sizes[who], pa.nulls(len(who), pa.int64()), whole)
+                yield _signed(g, nodes[who], sizes[who], whole, pa.nulls(len(who), pa.binary()))
 
-    rows = docs.mapInArrow(sign, "g long, node long, size int, doc long, whole long")
+    def share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _shared(batches, percent)
+
+    rows = docs.mapInArrow(sign, _SIGNED)
     dealt = rows.repartition("g").sortWithinPartitions("g", "node", "size")
-    first = cut(dealt.mapInArrow(_shared, _SHARED))
-    # shards of one signature meet in their smallest nodes
-    heads = first.where("whole is not null").select(F.col("whole").alias("g"), "node", "size", F.lit(None).cast("long").alias("doc"), F.lit(None).cast("long").alias("whole"))
-    second = heads.repartition("g").sortWithinPartitions("g", "node", "size").mapInArrow(_shared, _SHARED)
-    return first.where("whole is null").union(second).drop("whole")
+    first = stored(dealt.mapInArrow(share, _SHARED))
+    # the shards of a signature meet in their first nodes
+    heads = first.where(F.col("kind") == HEAD).select(F.col("c").alias("g"), F.col("b").alias("node"), "size", F.lit(None).cast("long").alias("c"), "cells")
+    second = heads.repartition("g").sortWithinPartitions("g", "node", "size").mapInArrow(share, _SHARED)
+    return first.where(F.col("kind") != HEAD).union(stored(second))
 
 
-_SHARED = "g long, node long, size int, doc long, rep long, rep_size int, whole long"
+DOC, STAR, MEMBER, HEAD = range(4)
+_SIGNED = "g long, node long, size int, c long, cells binary"
+_SHARED = "kind int, a long, b long, size int, c long, cells binary"
 
 
-def _rows(g, node, size, doc, whole) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(g), pa.array(node), pa.array(size.astype(np.int32)), doc, whole], names=["g", "node", "size", "doc", "whole"]
-    )
+def _signed(g, node, size, c, cells) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(g), pa.array(node), pa.array(size.astype(np.int32)), c, cells], names=["g", "node", "size", "c", "cells"])
+
+
+def _cells(s: np.ndarray) -> bytes:
+    """How many members of a set fall into each of some cells, about two each: by the first bits of a hash, so that
+    neighbours can be added up to fewer cells."""
+    bits = min(max(int(len(s) // 2).bit_length(), _CELL_BITS[0]), _CELL_BITS[1])
+    cell = (mix(s) >> np.uint64(64 - bits)).astype(np.int64)
+    return np.minimum(np.bincount(cell, minlength=1 << bits), 255).astype(np.uint8).tobytes()
 
 
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by group and node, those whose group has two nodes; and the document rows as they are.
+def _apart(a: bytes, b: bytes) -> int:
+    """A lower bound of how many members of two sets are in one of them only."""
+    x, y = (np.frombuffer(c, dtype=np.uint8).astype(np.int32) for c in (a, b))
+    while len(x) > len(y):
+        x = x[::2] + x[1::2]
+    while len(y) > len(x):
+        y = y[::2] + y[1::2]
+    return int(np.abs(x - y).sum())
 
-    The first row of a group that is a shard is also given with its whole signature. Only the last row of a batch
-    and its group's first are carried over, so groups may have any size.
+
+def _shared(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by group and node to rows of ``_SHARED``; document rows (negative size) as they are.
+
+    Only the last row of a batch and its group's first are carried over, so groups may have any size. The first row
+    of a group that is a shard is also given as ``HEAD``, with its whole signature.
     """
-    held, head = None, None  # the last row, not given yet; (node, size) of its group's first
+    held, head = None, None  # the last row, not given yet; (node, size) of its group's first and its place there
     for batch in chain(batches, (None,)):
         columns = []
         if batch is not None and batch.num_rows:
             g, node, size = (batch.column(i).to_numpy() for i in range(3))
             single = size < 0
             docs = batch.filter(pa.array(single))
-            n = docs.num_rows
-            if n:
-                yield _given(docs.column(0), docs.column(1), -1 - size[single], docs.column(3), pa.nulls(n, pa.int64()), np.zeros(n), pa.nulls(n, pa.int64()))
-            whole = batch.column(4)
+            if docs.num_rows:
+                yield _given(DOC, docs.column(1), None, -1 - size[single], docs.column(3), docs.column(4))
+            whole = batch.column(3)
             columns = [g, node, size, np.asarray(whole.is_valid()), whole.fill_null(0).to_numpy()]
             columns = [c[~single] for c in columns]
         if batch is not None and (not columns or not len(columns[0])):
@@ -275,76 +296,95 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             return
         fresh = np.concatenate(([True], (columns[0][1:] != columns[0][:-1]) | (columns[1][1:] != columns[1][:-1])))
         g, node, size, known, whole = columns = [c[fresh] for c in columns]
-        begins = np.concatenate(([held is None or head == (node[0], size[0])], g[1:] != g[:-1]))
-        heads = np.flatnonzero(begins)
-        rep, rep_size = (x[heads] if begins[0] else np.concatenate(([h], x[heads])) for x, h in zip((node, size), head or (0, 0)))
-        nth = np.cumsum(begins) - begins[0]
-        many = ~begins | np.append(g[1:] == g[:-1], False)
-        if batch is not None:  # what follows the last row is not known yet
-            many[-1] = False
-        none = lambda k: pa.nulls(int(k.sum()), pa.int64())
-        if many.any():
-            yield _given(g[many], node[many], size[many], none(many), rep[nth[many]], rep_size[nth[many]], none(many))
-        first = begins & known
-        if batch is not None:
-            first[-1] = False
+        begins = np.concatenate(([head is None or head[2] == 0], g[1:] != g[:-1]))
+        firsts = np.flatnonzero(begins)
+        nth = np.arange(len(g)) - np.concatenate(([0], firsts) if not begins[0] else (firsts,))[np.cumsum(begins) - begins[0]]
+        rep, rep_size = node[firsts], size[firsts]
+        if not begins[0]:  # the first row goes on a group
+            rep, rep_size = np.concatenate(([head[0]], rep)), np.concatenate(([head[1]], rep_size))
+            nth[: firsts[0] if len(firsts) else len(nth)] += head[2]
+        of = np.cumsum(begins) - begins[0]
+        rep, rep_size = rep[of], rep_size[of]
+        more = np.append(g[1:] == g[:-1], False)
+        now = np.ones(len(g), dtype=bool)
+        now[-1] = batch is None  # what follows the last row is not known yet
+        star = now & (nth > 0) & (np.minimum(size, rep_size) * 100 >= np.maximum(size, rep_size) * percent)
+        if star.any():
+            pairs = np.unique(np.stack([rep[star], node[star]]), axis=1)
+            yield _given(STAR, pairs[0], pairs[1])
+        second = now & (nth == 1) & more
+        for at, n, s in ((now & (nth > 1) | second, node, size), (second, rep, rep_size)):
+            if at.any():
+                yield _given(MEMBER, g[at], n[at], s[at])
+        first = now & (nth == 0) & known
         if first.any():
-            yield _given(g[first], node[first], size[first], none(first), none(first), np.zeros(first.sum()), whole[first])
-        held, head = [c[-1:] for c in columns], (rep[nth[-1]], rep_size[nth[-1]])
+            yield _given(HEAD, g[first], node[first], size[first], whole[first])
+        held, head = [c[-1:] for c in columns], (rep[-1], rep_size[-1], nth[-1])
+
+
+def _given(kind, a, b=None, size=None, c=None, cells=None) -> pa.RecordBatch:
+    n = len(a)
+    arrays = [np.full(n, kind, np.int32), a, b, size if size is None else size.astype(np.int32), c, cells]
+    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
+    arrays = [pa.nulls(n, k) if x is None else x if isinstance(x, pa.Array) else pa.array(x, k) for x, k in zip(arrays, kinds)]
+    return pa.RecordBatch.from_arrays(arrays, names=["kind", "a", "b", "size", "c", "cells"])
 
 
-def _given(g, node, size, doc, rep, rep_size, whole) -> pa.RecordBatch:
-    arrays = [pa.array(g), pa.array(node), pa.array(size.astype(np.int32)), doc, pa.array(rep), pa.array(rep_size.astype(np.int32)), pa.array(whole)]
-    return pa.RecordBatch.from_arrays(arrays, names=[x.split()[0] for x in _SHARED.split(", ")])
+#: Documents of candidate pairs whose ids (16 bytes each) are broadcast to find their texts.
+_FEW = 200_000
 
 
-def _sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """``(node, size, cells, members)`` of nodes: the whole set, and how many of it fall into each of some cells."""
+def _members(docs: DataFrame, pairs: DataFrame, names: DataFrame, width: int) -> DataFrame:
+    """``(node, members)``, the whole set, of the nodes of pairs.
+
+    Up to ``_FEW`` nodes, counted, the ids are broadcast and texts stay where they are; beyond, both are dealt.
+    """
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    wanted = cut(nodes.join(names, "node").select("node", F.col("name").alias("doc_id")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # an id may stand in many rows
         for batch in batches:
             for part in slices(batch, "text"):
                 sets = shingle_sets(_bytes(part.column("text")), width)
-                found = np.array([set_digest(s) for s in sets], dtype=np.int64)
-                same = np.flatnonzero(found == part.column("node").to_numpy())
-                if not len(same):
-                    continue
-                sets = [sets[i] for i in same]
-                cells = [np.minimum(np.bincount(mix(s) % np.uint64(_CELLS), minlength=_CELLS), 255).astype(np.uint8).tobytes() for s in sets]
-                ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(found[same]), pa.array([len(s) for s in sets], pa.int32()), pa.array(cells, pa.binary()),
-                        pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets).view(np.int64))),
-                    ],
-                    names=["node", "size", "cells", "members"],
-                )
-
-    rows = docs.join(nodes, "doc_id").select("node", "text")
-    out = rows.mapInArrow(run, "node long, size int, cells binary, members array<long>")
-    return out.dropDuplicates(["node"])
-
-
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+                found = [set_digest(s) for s in sets]
+                same = [i for i, (x, y) in enumerate(zip(found, part.column("node").to_pylist())) if x == y and x not in seen]
+                same = list({found[i]: i for i in same}.values())
+                seen.update(found[i] for i in same)
+                if len(seen) > 1_000_000:
+                    seen.clear()
+                if same:
+                    ends = np.cumsum([0, *(len(sets[i]) for i in same)]).astype(np.int32)
+                    values = pa.array(np.concatenate([sets[i] for i in same]).view(np.int64))
+                    yield pa.RecordBatch.from_arrays([pa.array([found[i] for i in same], pa.int64()), pa.ListArray.from_arrays(pa.array(ends), values)], names=["node", "members"])
+
+    if wanted.count() <= _FEW:
+        wanted = F.broadcast(wanted)
+    return docs.join(wanted, "doc_id").select("node", "text").mapInArrow(run, "node long, members array<long>")
+
+
+def _linked(docs: DataFrame, pairs: DataFrame, names: DataFrame, cells: DataFrame, width: int, percent: int) -> DataFrame:
     """Of candidate pairs ``(a, b)`` of nodes, those that are similar.
 
     First the counts by cell, which bound the difference from below, then the whole sets.
     """
-    one, two = (sets.select(F.col("node").alias(x), F.col("size").alias(f"n_{x}"), F.col("cells").alias(f"c_{x}")) for x in "ab")
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                c = [np.frombuffer(b"".join(batch.column(f"c_{x}").to_pylist()), dtype=np.uint8).reshape(-1, _CELLS).astype(np.int16) for x in "ab"]
+                differ = map(_apart, *(batch.column(f"c_{x}").to_pylist() for x in "ab"))
+                differ = np.fromiter(differ, dtype=np.int64, count=batch.num_rows)
                 n = sum(batch.column(f"n_{x}").to_numpy().astype(np.int64) for x in "ab")
-                ok = np.abs(c[0] - c[1]).sum(axis=1, dtype=np.int64) * (100 + percent) <= n * (100 - percent)
+                ok = differ * (100 + percent) <= n * (100 - percent)
                 yield batch.select(["a", "b"]).filter(pa.array(ok))
 
-    close = pairs.join(one, "a").join(two, "b").mapInArrow(near, "a long, b long")
+    one, two = (cells.select(F.col("node").alias(x), F.col("size").alias(f"n_{x}"), F.col("cells").alias(f"c_{x}")) for x in "ab")
+    close = cut(pairs.join(one, "a").join(two, "b").mapInArrow(near, "a long, b long"))
+    sets = stored(_members(docs, close, names, width))
     one, two = (sets.select(F.col("node").alias(x), F.col("members").alias(f"m_{x}")) for x in "ab")
     shared = F.size(F.array_intersect("m_a", "m_b"))
     union = F.size("m_a") + F.size("m_b") - shared
-    return close.join(one, "a").join(two, "b").where(shared * 100 >= union * percent).select("a", "b")
+    return cut(close.join(one, "a").join(two, "b").where(shared * 100 >= union * percent).select("a", "b"))
 
 
 def near_duplicates(df: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
@@ -360,37 +400,35 @@ def near_duplicates(df: DataFrame, width: int = 5, percent: int = 75) -> DataFra
     """
     ship(df.sparkSession)
     docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = cut(_collisions(docs, width, percent))
-    every = rows.where("rep is null").select("doc", "node", "size")
-    groups = rows.where("rep is not null").select("g", "node", "size", "rep", "rep_size")
-    names = every.where("size > 0 and doc is not null").groupBy("node").agg(F.min("doc").alias("name"))
-
-    fits = lambda n, m: (F.least(n, m) * 100 >= F.greatest(n, m) * percent)
-    stars = groups.where((F.col("node") != F.col("rep")) & fits(F.col("size"), F.col("rep_size")))
-    stars = stars.select(F.col("rep").alias("a"), F.col("node").alias("b")).distinct()
-    wanted = groups.select("node").distinct().join(names, "node").select("node", F.col("name").alias("doc_id"))
-    sets = cut(_sets(docs, wanted, width))
-    links = cut(_linked(stars, sets, percent))
-
-    # across what is still apart in a group
-    known = components(links)
-    placed = groups.select("g", "node", "size").join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    placed = cut(placed)
+    rows = _collisions(docs, width, percent)
+    every = rows.where(F.col("kind") == DOC).select(F.col("c").alias("doc"), F.col("a").alias("node"), "size", "cells")
+    named = every.where("size > 0 and doc is not null")
+    names = cut(named.groupBy("node").agg(F.min("doc").alias("name")))
+    stars = cut(rows.where(F.col("kind") == STAR).select("a", "b").distinct())
+    cells = named.groupBy("node").agg(F.min("size").alias("size"), F.min("cells").alias("cells"))
+    links = _linked(docs, stars, names, cells, width, percent)
+
+    # across what is still apart in a group of three or more
+    known = cut(components(links))
+    placed = rows.where(F.col("kind") == MEMBER).select(F.col("a").alias("g"), F.col("b").alias("node"), "size").join(known, "node", "left")
+    placed = placed.withColumn("component", F.coalesce("component", "node"))
     sizes = placed.groupBy("g", "component").count()
     main = sizes.groupBy("g").agg(F.max(F.struct("count", "component")).alias("top"), F.count("*").alias("n")).where("n > 1")
-    apart = placed.join(cut(main.select("g", F.col("top.component").alias("main"))), "g")
+    apart = stored(placed.join(cut(main.select("g", F.col("top.component").alias("main"))), "g"))
     left = apart.where("component <> main").select("g", F.col("node").alias("a"), F.col("size").alias("n"), F.col("component").alias("x"))
     right = apart.select("g", F.col("node").alias("b"), F.col("size").alias("m"), F.col("component").alias("y"), "main")
-    pairs = left.join(right, "g").where((F.col("x") != F.col("y")) & fits(F.col("n"), F.col("m")) & ((F.col("a") < F.col("b")) | (F.col("y") == F.col("main"))))
+    fits = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
+    once = (F.col("a") < F.col("b")) | (F.col("y") == F.col("main"))
+    pairs = left.join(right, "g").where((F.col("x") != F.col("y")) & fits & once)
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
-    more = _linked(pairs, sets, percent)
+    more = _linked(docs, pairs, names, cells, width, percent)
 
     tied = links.union(more)
     tied = tied.join(names.select(F.col("node").alias("a"), F.col("name").alias("u")), "a").join(names.select(F.col("node").alias("b"), F.col("name").alias("v")), "b")
     found = components(tied, "u", "v")
-    named = names.join(found.withColumnRenamed("node", "name"), "name", "left")
-    named = cut(named.select("node", F.coalesce("component", "name").alias("component")))
-    return every.join(named, "node", "left").select(
+    ends = names.join(found.withColumnRenamed("node", "name"), "name", "left")
+    ends = cut(ends.select("node", F.coalesce("component", "name").alias("component")))
+    return every.join(ends, "node", "left").select(
         F.col("doc").alias("doc_id"),
         F.col("size").cast("long").alias("n_shingles"),
         F.when(F.col("doc").isNotNull() & (F.col("size") > 0), F.col("component")).otherwise(F.col("doc")).alias("component_id"),
