@@ -250,7 +250,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "text") -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = vocabulary(path)
         for batch in batches:
-            texts = [bpe.decode(np.array(v or [], dtype="<u4").tobytes()) for v in _lists(batch.column(ids))]
+            texts = [bpe.decode(np.array([] if v is None else v, dtype="<u4").tobytes()) for v in _lists(batch.column(ids))]
             yield _with(batch, kept, {text: pa.array(texts, pa.string())})
 
     return df.mapInArrow(run, _schema(df, kept, f"{text} string"))

@@ -10,7 +10,7 @@ set fills (empty ones say nothing and give no signature) all but k agree.
 The subsets enumerated are the single partitions, in one order common to all sets, first those that hold a rare
 shingle: of the first k + 1 of either set, one is shared. Larger subsets would be more selective, but need more
 signatures and admit empty ones; the order does better against passages that many documents share. Which shingles
-are common is read off a bounded sample, and only the order follows from it: results never do.
+are common is read off a share of the documents, and only the order follows from it: results never do.
 
 Sets that share a signature are candidates; links are then decided on the whole sets. To find components, a
 signature's sets are first held against one of them, and then only across what is still apart: thousands of near
@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from tillroll.llm.common import cut, mix, ship, slices, stored
 from tillroll.llm.components import components
 
-#: Documents whose shingles show which ones are common, and how many of them must hold one.
-SAMPLE, COMMON = 4_000, 6
+#: One in so many documents shows which shingles are common: those that ``COMMON`` of them hold.
+SAMPLE, COMMON = 12, 6
 #: Most common shingles sent to the tasks (8 bytes each).
 COMMON_MOST = 1 << 19
 #: Shards of a signature made of common shingles only.
@@ -182,10 +182,12 @@ def _bytes(a: pa.Array) -> list[bytes | None]:
     return a.cast(pa.binary()).to_pylist()
 
 
-def _common(docs: DataFrame, width: int, n: int) -> np.ndarray:
-    """Shingles that ``COMMON`` documents of a sample hold; at most ``COMMON_MOST``, whatever the input."""
-    buckets = max(1, n // SAMPLE)
-    some = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(buckets)) == 0)
+def _common(docs: DataFrame, width: int) -> np.ndarray:
+    """Shingles that ``COMMON`` documents of a sample hold, the most common ones up to ``COMMON_MOST``.
+
+    The sample is a share of the documents, so a passage of some dozen documents is seen in any input.
+    """
+    some = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE)) == 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -202,7 +204,7 @@ def _collisions(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """What the signatures tell, by ``kind``: ``DOC`` a row of ``docs`` (``a`` its node, ``c`` its id, with the counts
     by cell), ``STAR`` a candidate pair (``a``, ``b``) of the first node of a group and another one that its size
     allows, ``MEMBER`` a node ``b`` of a group ``a`` of three or more."""
-    common = _common(docs, width, docs.count())
+    common = _common(docs, width)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
