@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.text import bind
 
-# Named entities and the plain text they are written as.
+# Named entities and the plain text they are written as; other names give their character.
 ENTITIES = {
     "nbsp": " ",
     "lt": "<",
@@ -45,25 +48,60 @@ _BLOCKS = (
 )
 
 
-def _numeric_entities(c: Column) -> Column:
-    """Decimal character references; only text that has one pays for the loop."""
-    codes = F.array_distinct(F.regexp_extract_all(c, F.lit(r"&#(\d{1,7});"), F.lit(1)))
+# a pair of surrogates written as two references is one character
+_HIGH, _LOW = r"#(?:5[56]\d{3}|[xX][dD][89abAB][0-9a-fA-F]{2});", r"#(?:5[67]\d{3}|[xX][dD][c-fC-F][0-9a-fA-F]{2});"
+_REFERENCE = rf"&(?:{_HIGH}&{_LOW}|#\d+;|#[xX][0-9a-fA-F]+;|[A-Za-z][A-Za-z0-9]*;)"
+
+
+def _names() -> Column:
+    """All named references as one constant map; those of ``ENTITIES`` are written plainly."""
+    every = {n[:-1]: c for n, c in html5.items() if n.endswith(";")} | ENTITIES
+    return F.from_json(F.lit(json.dumps(every)), "map<string,string>")
+
+
+def _code(ref: Column) -> Column:
+    """Code of a numeric reference (``#65;``, ``#x41;``); -1 if it has too many digits."""
+    hex = ref.rlike("^#[xX]")
+    digits = F.regexp_extract(ref, "^#[xX]?0*([0-9a-fA-F]*);$", 1)
+    digits = F.when(digits == "", "0").otherwise(digits)
+    value = F.when(hex, F.conv(digits, 16, 10)).otherwise(F.conv(digits, 10, 10)).try_cast("int")
+    return F.when(F.length(digits) <= 7, value).otherwise(-1)
 
-    def swap(acc: Column, code: Column) -> Column:
-        char = F.decode(F.unhex(F.lpad(F.hex(code.cast("int")), 8, "0")), "UTF-32")
-        return F.replace(acc, F.concat(F.lit("&#"), code, F.lit(";")), char)
 
-    return F.when(c.contains("&#"), F.reduce(codes, c, swap)).otherwise(c)
+def _char(code: Column) -> Column:
+    """A code as a character; what is none (zero, surrogates, beyond U+10FFFF) becomes U+FFFD."""
+    sound = ((code > 0) & (code < 0xD800)) | ((code > 0xDFFF) & (code <= 0x10FFFF))
+    code = F.when(sound, code).otherwise(0xFFFD)
+    return F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+
+
+def _decoded(ref: Column, names: Column) -> Column:
+    """What a reference stands for; an unknown name stays as it is."""
+    body = F.substring(ref, 2, 100_000)
+    low = F.regexp_extract(body, ";&(#.*)$", 1)
+    first, second = _code(F.regexp_extract(body, "^(#[^;]*;)", 1)), _code(low)
+    pair = (low != "") & first.between(0xD800, 0xDBFF) & second.between(0xDC00, 0xDFFF)
+    joined = F.lit(0x10000) + (first - 0xD800) * 0x400 + (second - 0xDC00)
+    number = F.when(pair, _char(joined)).when(low != "", F.concat(_char(first), _char(second))).otherwise(_char(first))
+    named = F.coalesce(F.try_element_at(names, F.rtrim(body, F.lit(";"))), ref)
+    return F.when(body.startswith("#"), number).otherwise(named)
 
 
 def _entities(c: Column) -> Column:
-    for name, char in ENTITIES.items():
-        c = F.replace(c, F.lit(f"&{name};"), F.lit(char))
-    return F.replace(bind(c, _numeric_entities), F.lit("&amp;"), F.lit("&"))
+    """Each reference that the text has is replaced once; what gives ``&`` comes last, so nothing is decoded twice."""
+    found = F.transform(
+        F.array_distinct(F.regexp_extract_all(c, F.lit(_REFERENCE), F.lit(0))),
+        lambda ref: F.struct(ref.alias("ref"), _decoded(ref, _names()).alias("is")),
+    )
+    # longer references first: a pair before its halves
+    ordered = F.array_sort(
+        F.transform(found, lambda x: F.struct((x["is"] == "&").alias("last"), (-F.length(x["ref"])).alias("n"), x["ref"].alias("ref"), x["is"].alias("is")))
+    )
+    return F.reduce(ordered, c, lambda acc, x: F.replace(acc, x["ref"], x["is"]))
 
 
 def unescape(c: Column) -> Column:
-    """Entities to characters. ``&amp;`` comes last so that nothing is decoded twice."""
+    """Character references to characters; only text that has one pays for it."""
     return bind(c, lambda t: F.when(t.contains("&"), _entities(t)).otherwise(t))
 
 

@@ -18,8 +18,12 @@ _STYLES = {
 
 def parse_money(c: Column, style: str, whole: bool = False) -> Column:
     """Parse an amount written in one of the styles; ``whole`` truncates toward zero."""
-    if style == "M7":  # 2,50 or 2.50: a comma decides for M2
-        text = F.when(c.contains(","), F.translate(c, *_STYLES["M2"])).otherwise(c)
+    if style in ("M5", "M7"):  # with both separators, the last one is the decimal mark and the other groups
+        both = c.contains(",") & c.contains(".")
+        comma_last = F.substring_index(c, ",", -1).contains(".") == F.lit(False)
+        grouped = F.when(comma_last, F.translate(c, *_STYLES["M2"])).otherwise(F.translate(c, *_STYLES["M1"]))
+        # M7 is 2,50 or 2.50
+        text = F.when(both, grouped).otherwise(F.translate(c, *_STYLES["M5"]))
     else:
         text = F.translate(c, *_STYLES[style])
     value = text.try_cast("decimal(18,2)")

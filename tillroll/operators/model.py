@@ -126,7 +126,7 @@ def train_category_model(
     data = df.where(F.col(label).isNotNull())
     features = feature_pipeline(groups).fit(data)
     indexer = StringIndexer(
-        inputCol=label, outputCol="label", stringOrderType="alphabetAsc", handleInvalid="keep"
+        inputCol=label, outputCol="label", stringOrderType="alphabetAsc", handleInvalid="error"
     ).fit(data)
     ready = indexer.transform(features.transform(data)).select(label, "label", "features")
     classes = len(indexer.labels)

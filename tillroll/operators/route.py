@@ -96,7 +96,7 @@ def dedup_transactions(
     weak_keys: Sequence[str] = ("date", "amount", "merchant", "description"),
     rules: Sequence[Rule] | None = None,
 ) -> DataFrame:
-    """One row per transaction: the one with the smallest message id.
+    """One row per transaction: the most complete one, then the one with the smallest message id.
 
     Some receipts carry no id of their own (a dash, or the minute of the payment). Such ids do not
     tell transactions apart, so there the other fields join the key. The minimum is combined before
@@ -108,7 +108,9 @@ def dedup_transactions(
     if weak_rules:
         weak = weak | F.concat_ws(".", "provider", "variant").isin(*weak_rules)
     extra = [F.when(weak, F.col(c)).alias(f"_weak_{c}") for c in weak_keys]
-    row = F.struct("message_id", *(c for c in tx.columns if c != "message_id"))
+    # a copy that lacks a field gives way to one that has it
+    lacks = sum((F.col(c).isNull().cast("int") for c in ("trx_id", "date", "merchant", "amount", "currency")), F.lit(0))
+    row = F.struct(lacks.alias("_lacks"), "message_id", *(c for c in tx.columns if c != "message_id"))
     return (
         tx.groupBy(*keys, *extra)
         .agg(F.min(row).alias("_row"))

@@ -35,14 +35,14 @@ def shuffled(df: DataFrame, id: str, seed: int = 42) -> DataFrame:
 
 
 def split_stratified(df: DataFrame, id: str, label: str, frac: float, seed: int = 42) -> DataFrame:
-    """Add ``is_held``: exactly round(frac x rows) of every class, by the smallest digests.
+    """Add ``is_held``: exactly round(frac x rows) of every class, by the smallest digests. NULL is a class.
 
     Ranking a whole class in one task would fail for a class with a third of all rows. Instead the
     digests are counted per class and bucket; every bucket but one is then wholly in or out, and only
     the rows of that one bucket (about 1/4096 of the class) are ranked.
     """
     keyed = df.withColumns(
-        {"_digest": keyed_hash(F.col(id), seed), "_class": F.coalesce(F.col(label).cast("string"), F.lit(""))}
+        {"_digest": keyed_hash(F.col(id), seed), "_class": F.coalesce(F.concat(F.lit("="), F.col(label).cast("string")), F.lit(""))}
     ).withColumn("_bucket", F.substring("_digest", 1, 3))
     counts = keyed.groupBy("_class", "_bucket").agg(F.count("*").alias("_n"))
     by_class = W.partitionBy("_class")  # at most 4096 rows per class

@@ -159,6 +159,6 @@ def stream_emails(spark: SparkSession, path: str, files_per_trigger: int = 500)
     )
 
 
-def take_messages(df: DataFrame, n: int = 10_000) -> DataFrame:
-    """At most ``n`` messages, as a run with a message limit reads."""
-    return df.limit(n)
+def take_messages(df: DataFrame, n: int) -> DataFrame:
+    """At most ``n`` messages, as a run with a message limit reads: those of the smallest hashes of their id."""
+    return df.orderBy(F.xxhash64("message_id"), "message_id").limit(n)

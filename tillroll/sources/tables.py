@@ -71,15 +71,14 @@ def write_report(tx: DataFrame, path: str) -> None:
     ).csv(path)
 
 
-def write_unparsed(df: DataFrame, path: str, spread: int = 16) -> None:
+def write_unparsed(df: DataFrame, path: str) -> None:
     """Unparsed mails by sender domain.
 
-    Rows are spread over (domain, slot): one domain may hold a third of all mails, and without the
-    slot its whole folder would be written by one task.
+    Rows are rebalanced by domain: small ones share a task, and one that holds a third of all mails is
+    split into as many tasks as its size asks for.
     """
-    slot = F.pmod(F.xxhash64("message_id"), F.lit(spread))
     (
-        df.repartition(F.col("from_domain"), slot)
+        df.hint("rebalance", "from_domain")
         .write.mode("overwrite")
         .option("maxRecordsPerFile", 1_000_000)
         .partitionBy("from_domain")

@@ -12,7 +12,6 @@ from tillroll.operators.extract import parse_receipts
 from tillroll.operators.route import PLACEHOLDER_IDS
 from tillroll.plans.rule import Rule, all_rules
 from tillroll.schemas import TRANSACTIONS
-from tillroll.session import checkpoint_root
 from tillroll.sources.mail import stream_emails, stream_eml
 
 
@@ -45,26 +44,25 @@ def stream_extract(
     spark: SparkSession,
     path: str,
     rules: Sequence[Rule] | None = None,
-    checkpoint: str | None = None,
-    sink: str | None = None,
+    *,
+    checkpoint: str,
+    sink: str,
     fmt: str = "parquet",
     files_per_trigger: int = 500,
     delay: str = "30 days",
 ) -> StreamingQuery:
     """Read what is new under ``path``, extract it, append it to the Parquet folder ``sink``, stop.
 
-    ``fmt`` is ``parquet`` (EMAILS files) or ``eml``. The checkpoint defaults to a folder below the
-    cluster's shared checkpoint folder; run again with the same one to go on.
+    ``fmt`` is ``parquet`` (EMAILS files) or ``eml``. Each stream has a ``checkpoint`` folder of its own; run
+    again with the same one to go on.
     """
-    if sink is None:
-        raise ValueError("name a folder for the transactions")
     read = {"parquet": stream_emails, "eml": stream_eml}[fmt]
     found = extract_stream(read(spark, path, files_per_trigger), rules, delay)
     return (
         found.select(*TRANSACTIONS.fieldNames())
         .writeStream.format("parquet")
         .option("path", sink)
-        .option("checkpointLocation", checkpoint or f"{checkpoint_root(spark)}/extract")
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .outputMode("append")
         .start()
