@@ -101,10 +101,10 @@ def _rule_id(r: Rule) -> str:
 
 
 def _styled(
-    rules: Sequence[Rule], key: Callable[[Rule], object], build: Callable[[object], Column]
+    rule: Column, rules: Sequence[Rule], key: Callable[[Rule], object], build: Callable[[object], Column]
 ) -> Column:
     groups = _grouped(rules, key)
-    return _case([(F.col("_rule").isin(*ids), build(style)) for style, ids in groups.items()])
+    return _case([(rule.isin(*ids), build(style)) for style, ids in groups.items()])
 
 
 def parse_receipts(
@@ -208,23 +208,32 @@ def _parsed(read: DataFrame, rules: Sequence[Rule], keep: Sequence[str]) -> Data
         *(strip(f[name]).alias(f"_{name}") for name in TEXT_FIELDS if name != "date"),
     )
     dated = stripped.withColumn("_date", F.trim(english_month(F.col("_date"))))
+
+    def typed(m: Column) -> Column:
+        return F.struct(
+            _styled(m["_rule"], rules, lambda r: r.dates, lambda fmts: parse_ts(m["_date"], *fmts)).alias("date"),
+            _styled(
+                m["_rule"],
+                rules,
+                lambda r: (r.money, r.whole),
+                lambda style: parse_money(m["_amount"], style[0], whole=style[1]),
+            ).alias("amount"),
+            _styled(
+                m["_rule"], rules, lambda r: r.fee_money or r.money, lambda style: parse_money(m["_fees"], style)
+            ).alias("fees"),
+        )
+
+    # behind a generator too: filters and sums of a caller then read the values instead of parsing again
+    typed_once = F.explode(F.transform(F.array(F.struct("_rule", "_date", "_amount", "_fees")), typed))
     values = dated.select(
         *kept,
         settled("trx_id").alias("_trx_id"),
-        _styled(rules, lambda r: r.dates, lambda fmts: parse_ts(F.col("_date"), *fmts)).alias("date"),
         settled("merchant").alias("merchant"),
-        _styled(
-            rules,
-            lambda r: (r.money, r.whole),
-            lambda style: parse_money(F.col("_amount"), style[0], whole=style[1]),
-        ).alias("amount"),
-        _styled(
-            rules, lambda r: r.fee_money or r.money, lambda style: parse_money(F.col("_fees"), style)
-        ).alias("_fees"),
         settled("currency").alias("_currency"),
         settled("payment_method").alias("payment_method"),
         settled("description").alias("description"),
-    )
+        typed_once.alias("_v"),
+    ).withColumns({"date": F.col("_v")["date"], "amount": F.col("_v")["amount"], "_fees": F.col("_v")["fees"]})
     known = rule.isNotNull()
     return values.select(
         "message_id",
