@@ -194,9 +194,9 @@ SELECT side, CAST(sum("F") AS BIGINT) AS "F", CAST(sum("O") AS BIGINT) AS "O",
 def one_hot_aligned(spark, sf):
     """Frames with different values get the same columns."""
     o = read(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
-    both = encode.one_hot_aligned(
-        o.where("o_orderstatus <> 'P'"), o.where("o_orderstatus = 'P'"), ["o_orderstatus"]
-    )
+    sides = o.where("o_orderstatus <> 'P'"), o.where("o_orderstatus = 'P'")
+    states = [r.value for r in encode.dummy_domain(sides, "o_orderstatus").collect()]
+    both = encode.one_hot_aligned(*sides, {"o_orderstatus": states})
     frames = [f.withColumn("side", F.lit(side)) for f, side in zip(both, _SIDES, strict=True)]
     sums = [F.sum(f"o_orderstatus_{v}").alias(v) for v in ("F", "O", "P")]
     return frames[0].unionByName(frames[1]).groupBy("side").agg(*sums)

@@ -2,43 +2,53 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.operators.lookup import lookup
 from tillroll.operators.ranking import numbered
+from tillroll.session import reliable_checkpoint
 
-MAX_DUMMIES = 10_000
+
+def _values(df: DataFrame, cols: Sequence[str], name: str, null: str | None = None) -> DataFrame:
+    """``(col, name)``: one row per row and column, as text."""
+    text = {c: F.col(c).cast("string") for c in cols}
+    if null is not None:
+        text = {c: F.coalesce(v, F.lit(null)) for c, v in text.items()}
+    pairs = F.array(*(F.struct(F.lit(c).alias("col"), v.alias(name)) for c, v in text.items()))
+    return df.select(F.inline(pairs))
+
+
+def fit_all_labels(df: DataFrame, cols: Sequence[str]) -> dict[str, DataFrame]:
+    """``(label, idx)`` for every column, as in :func:`fit_labels`; the frame is read once for all of them."""
+    found = reliable_checkpoint(_values(df, cols, "label").where(F.col("label").isNotNull()).distinct())
+    out = {}
+    for c in cols:
+        own = found.where(F.col("col") == c).select("label")
+        out[c] = numbered(own, F.col("label"), "idx").withColumn("idx", F.col("idx") - 1)
+    return out
 
 
 def fit_labels(df: DataFrame, col: str) -> DataFrame:
     """``(label, idx)``: the distinct labels in alphabetical order, numbered from 0."""
-    labels = df.where(F.col(col).isNotNull()).select(F.col(col).cast("string").alias("label")).distinct()
-    return numbered(labels, F.col("label"), "idx").withColumn("idx", F.col("idx") - 1)
+    return fit_all_labels(df, [col])[col]
 
 
 def encode_label(df: DataFrame, *cols: str, labels: dict[str, DataFrame] | None = None) -> DataFrame:
-    """Add ``<col>_idx`` for every column; values that were not fitted get NULL.
-
-    No broadcast is forced: the label side comes out of an aggregation, so its true size is known at
-    run time and the adaptive planner picks the join.
-    """
+    """Add ``<col>_idx`` for every column; values that were not fitted get NULL."""
+    fitted = dict(labels or {})
+    if unfitted := [c for c in cols if c not in fitted]:
+        fitted |= fit_all_labels(df, unfitted)
     for col in cols:
-        fitted = (labels or {}).get(col)
-        if fitted is None:
-            fitted = fit_labels(df, col)
-        side = fitted.select(F.col("label").alias(f"_{col}_label"), F.col("idx").alias(f"{col}_idx"))
-        df = df.join(side, F.col(col).cast("string") == F.col(f"_{col}_label"), "left").drop(
-            f"_{col}_label"
-        )
+        df = lookup(df, F.col(col).cast("string"), fitted[col], "label", {f"{col}_idx": "idx"})
     return df
 
 
 def decode_label(df: DataFrame, col: str, labels: DataFrame) -> DataFrame:
     """Add ``<col>_label`` for a column of label ids."""
-    side = labels.select(F.col("idx").alias("_idx"), F.col("label").alias(f"{col}_label"))
-    return df.join(side, F.col(col) == F.col("_idx"), "left").drop("_idx")
+    return lookup(df, F.col(col), labels, "idx", {f"{col}_label": "label"})
 
 
 def argmax(probabilities: Column) -> Column:
@@ -51,13 +61,7 @@ def fit_categories(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
     Ties go to the later value. All columns are counted in one pass, then numbered one by one.
     """
-    pairs = F.array(
-        *(
-            F.struct(F.lit(c).alias("col"), F.coalesce(F.col(c).cast("string"), F.lit("nan")).alias("value"))
-            for c in cols
-        )
-    )
-    counts = df.select(F.inline(pairs)).groupBy("col", "value").agg(F.count("*").alias("n"))
+    counts = reliable_checkpoint(_values(df, cols, "value", "nan").groupBy("col", "value").agg(F.count("*").alias("n")))
     out = None
     for c in cols:
         own = numbered(counts.where(F.col("col") == c), F.struct("n", "value"), "idx", descending=True)
@@ -69,14 +73,9 @@ def encode_category(df: DataFrame, cols: Sequence[str], fitted: DataFrame | None
     """Add ``<col>_id`` for every column; 0 for values the fitted frame did not have."""
     fitted = fitted if fitted is not None else fit_categories(df, cols)
     for c in cols:
-        side = fitted.where(F.col("col") == c).select(
-            F.col("value").alias("_value"), F.col("idx").alias("_found")
-        )
-        df = (
-            df.join(side, F.coalesce(F.col(c).cast("string"), F.lit("nan")) == F.col("_value"), "left")
-            .withColumn(f"{c}_id", F.coalesce("_found", F.lit(0)))
-            .drop("_value", "_found")
-        )
+        key = F.coalesce(F.col(c).cast("string"), F.lit("nan"))
+        found = lookup(df, key, fitted.where(F.col("col") == c), "value", {f"{c}_id": "idx"})
+        df = found.withColumn(f"{c}_id", F.coalesce(f"{c}_id", F.lit(0)))
     return df
 
 
@@ -89,28 +88,37 @@ def one_hot(df: DataFrame, col: str, domain: Sequence[str]) -> DataFrame:
     return df.withColumns(hits)
 
 
-def dummy_domain(frames: Sequence[DataFrame], col: str) -> list[str]:
-    """Distinct values over all frames, sorted: they become columns, so their number is checked."""
+def dummy_domain(frames: Sequence[DataFrame], col: str) -> DataFrame:
+    """``(value)``: the distinct values over all frames, as a frame, since there may be any number."""
     values = None
     for f in frames:
-        own = f.where(F.col(col).isNotNull()).select(F.col(col).cast("string").alias("v"))
+        own = f.where(F.col(col).isNotNull()).select(F.col(col).cast("string").alias("value"))
         values = own if values is None else values.unionByName(own)
-    found = [r.v for r in values.distinct().limit(MAX_DUMMIES + 1).collect()]
-    if len(found) > MAX_DUMMIES:
-        raise ValueError(f"{col} has more than {MAX_DUMMIES} values: encode it as ids instead")
-    return sorted(found)
+    return values.distinct()
 
 
 def one_hot_aligned(
-    train: DataFrame, test: DataFrame, cols: Sequence[str]
+    train: DataFrame, test: DataFrame, domains: Mapping[str, Sequence[str]]
 ) -> tuple[DataFrame, DataFrame]:
-    """Dummy columns of both frames over the values either has; absent ones are 0."""
-    for c in cols:
-        domain = dummy_domain((train, test), c)
-        train, test = one_hot(train, c, domain), one_hot(test, c, domain)
+    """The same dummy columns in both frames: one per value of a column's domain, 0 where it is absent.
+
+    Every value becomes a column, so the caller names them (:func:`dummy_domain` finds them). For domains of any
+    size use :func:`one_hot_long`.
+    """
+    for c, domain in domains.items():
+        train, test = one_hot(train, c, sorted(domain)), one_hot(test, c, sorted(domain))
     return train, test
 
 
+def one_hot_long(df: DataFrame, id: str, cols: Sequence[str]) -> DataFrame:
+    """``(id, column)``: the dummy columns that are 1, named as by :func:`one_hot`; all others are 0.
+
+    Frames with different values need no aligning in this form, and no list of values exists anywhere.
+    """
+    names = [F.concat(F.lit(f"{c}_"), F.col(c).cast("string")) for c in cols]
+    return df.select(id, F.explode(F.array_compact(F.array(*names))).alias("column"))
+
+
 def fit_scaler(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """One row with mean and population deviation of every column."""
     return df.agg(

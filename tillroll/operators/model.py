@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.operators.aggregates import class_weights
+from tillroll.operators.lookup import lookup
 
 
 @dataclass(frozen=True)
@@ -133,8 +134,7 @@ def train_category_model(
 
     if kind == "logistic":
         if weighted:
-            side = class_weights(data, label).select(F.col(label).alias("_c"), F.col("weight"))
-            ready = ready.join(side, F.col(label) == F.col("_c")).drop("_c")
+            ready = lookup(ready, F.col(label), class_weights(data, label), label, {"weight": "weight"})
         learner = LogisticRegression(family="multinomial", maxIter=max_iter, regParam=1e-3)
         if weighted:
             learner = learner.setWeightCol("weight")

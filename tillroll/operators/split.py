@@ -7,6 +7,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tillroll.functions.text import split_words
+from tillroll.operators.lookup import lookup
+from tillroll.session import reliable_checkpoint
 
 _SLOTS = 1_000_000
 
@@ -57,7 +59,9 @@ def split_stratified(df: DataFrame, id: str, label: str, frac: float, seed: int
             (F.col("_quota") - (F.col("_upto") - F.col("_n"))).alias("_left"),
         )
     )
-    marked = keyed.join(cuts, F.col("_class") == F.col("_cut_class"), "left")
+    # one row per class
+    cuts = reliable_checkpoint(cuts)
+    marked = lookup(keyed, F.col("_class"), cuts, "_cut_class", {"_cut": "_cut", "_left": "_left"})
     decided = marked.where(F.col("_cut").isNull() | (F.col("_bucket") != F.col("_cut"))).withColumn(
         "is_held", F.coalesce(F.col("_bucket") < F.col("_cut"), F.lit(False))
     )
@@ -83,7 +87,7 @@ def augment_synonyms(
             (_number(keyed_hash(F.col(id), i, seed)) % F.size("_words")).cast("int"),
         )
         picked = out.withColumn("_at", at).withColumn("_pick", F.get("_words", F.col("_at")))
-        joined = picked.join(table, F.col("_pick") == F.col("_word"), "left")
+        joined = lookup(picked, F.col("_pick"), table, "_word", {"_synonym": "_synonym"})
         out = joined.withColumn(
             "_words",
             F.when(
@@ -93,7 +97,7 @@ def augment_synonyms(
                     lambda w, j: F.when(j == F.col("_at"), F.col("_synonym")).otherwise(w),
                 ),
             ).otherwise(F.col("_words")),
-        ).drop("_at", "_pick", "_word", "_synonym")
+        ).drop("_at", "_pick", "_synonym")
     return out.withColumn(text, F.array_join("_words", " ")).drop("_words")
 
 

@@ -1,7 +1,7 @@
 """Vocabularies, token sequences and TF-IDF.
 
-Fitting shuffles terms; applying does not shuffle at all. A fitted vocabulary has at most ``k`` rows,
-so it travels to the tasks as one value, and each document is encoded where it is read.
+Fitting shuffles terms. A vocabulary that is counted and small travels to the tasks as one value, and each document is
+encoded where it is read, without a shuffle. A larger one is joined to the terms of the documents, with the same results.
 """
 
 from __future__ import annotations
@@ -11,9 +11,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tillroll.functions.text import bind
+from tillroll.operators.lookup import lookup, small
+from tillroll.session import reliable_checkpoint
 
 PAD, UNKNOWN = 0, 1
-MAX_VOCABULARY = 100_000
 _BUCKETS = 256
 
 
@@ -50,8 +51,6 @@ def term_stats(df: DataFrame, id: str, tokens: str, unique: bool = False) -> Dat
 
 def top_terms(stats: DataFrame, k: int) -> DataFrame:
     """The ``k`` most frequent terms, ties to the later term. Each task keeps only its own best k."""
-    if k > MAX_VOCABULARY:
-        raise ValueError(f"a vocabulary holds at most {MAX_VOCABULARY} terms")
     return stats.orderBy(F.desc("tf"), F.desc("term")).limit(k)
 
 
@@ -61,7 +60,7 @@ def build_vocab(df: DataFrame, tokens: str, k: int = 1024, reserved: int = 2) ->
     ``k`` counts the reserved ids (padding and unknown), as the size of an embedding would.
     """
     counts = df.select(_terms(tokens).alias("term")).groupBy("term").agg(F.count("*").alias("tf"))
-    best = top_terms(counts, k - reserved)
+    best = reliable_checkpoint(top_terms(counts, k - reserved))
     # the window sees at most k rows
     rank = F.row_number().over(W.orderBy(F.desc("tf"), F.desc("term")))
     return best.select(
@@ -90,12 +89,27 @@ def text_to_sequence(
     df: DataFrame, id: str, tokens: str, vocab: DataFrame, length: int = 24
 ) -> DataFrame:
     """``(id, sequence)``: token ids, 1 for unknown tokens, cut or padded with 0 to ``length``."""
+    if not small(vocab.select("token", "idx")):
+        return _joined_sequence(df.select(id, F.slice(tokens, 1, length).alias("_t")), id, vocab, length)
     held = df.select(id, F.slice(tokens, 1, length).alias("_t"), _table(vocab, "token", "idx").alias("_v"))
     ids = F.transform("_t", lambda t: F.coalesce(_entry(F.col("_v"), t)["idx"], F.lit(UNKNOWN)))
     padded = F.concat(ids, F.array_repeat(F.lit(PAD), length))
     return held.select(id, F.slice(padded, 1, length).alias("sequence"))
 
 
+def _joined_sequence(heads: DataFrame, id: str, vocab: DataFrame, length: int) -> DataFrame:
+    """Sequences by a join on the tokens. Equal rows are looked up once and given out as often as they occur."""
+    once = heads.groupBy(id, "_t").agg(F.count("*").alias("_n"))
+    each = once.select(id, "_t", "_n", F.posexplode_outer("_t").alias("_pos", "_term"))
+    known = lookup(each, F.col("_term"), vocab, "token", {"_idx": "idx"})
+    place = F.when(F.col("_pos").isNotNull(), F.struct("_pos", F.coalesce("_idx", F.lit(UNKNOWN)).alias("_idx")))
+    # at most ``length`` entries in a group
+    back = known.groupBy(id, "_t", "_n").agg(F.array_sort(F.collect_list(place)).alias("_ids"))
+    padded = F.concat(F.transform("_ids", lambda e: e["_idx"]), F.array_repeat(F.lit(PAD), length))
+    sequence = F.when(F.col("_t").isNotNull(), F.slice(padded, 1, length))
+    return back.select(id, sequence.alias("sequence"), F.explode(F.sequence(F.lit(1), "_n"))).drop("col")
+
+
 def _runs(values: Column) -> Column:
     """Distinct values of an array with their counts, in time linear in its sorted length."""
 
@@ -127,7 +141,23 @@ def idf_table(df: DataFrame, id: str, tokens: str, k: int, mode: str) -> DataFra
         idf = F.log((n + 1) / (docs + 1)) + 1
     else:
         raise ValueError(f"unknown mode {mode}")
-    return top_terms(term_stats(df, id, tokens, unique=True), k).withColumn("idf", idf)
+    best = top_terms(term_stats(df, id, tokens, unique=True), k)
+    return reliable_checkpoint(best.withColumn("idf", idf))
+
+
+def _joined_tfidf(df: DataFrame, id: str, tokens: str, table: DataFrame, mode: str) -> DataFrame:
+    """TF-IDF by a join on the distinct terms of each document. Equal documents are weighed once."""
+    runs = _runs(F.filter(tokens, lambda t: t.isNotNull()))
+    terms = df.select(id, F.sha2(F.to_json(tokens), 256).alias("_doc"), F.inline(runs))
+    once = terms.groupBy(id, "_doc", "value", "tf").agg(F.count("*").alias("_n"))
+    known = lookup(once, F.col("value"), table, "term", {"_idf": "idf"}).where(F.col("_idf").isNotNull())
+    weight = F.col("tf") * F.col("_idf")
+    if mode == "smooth_l2":
+        weight = weight / F.sqrt(F.sum(weight * weight).over(W.partitionBy(id, "_doc")))  # terms of one text
+    out = known.withColumn("_w", weight)
+    return out.select(
+        id, F.col("value").alias("term"), F.col("_w").alias("value"), F.explode(F.sequence(F.lit(1), "_n"))
+    ).drop("col")
 
 
 def tfidf(
@@ -140,6 +170,8 @@ def tfidf(
     it to another frame.
     """
     table = fitted if fitted is not None else idf_table(df, id, tokens, k, mode)
+    if not small(table.select("term", "idf")):
+        return _joined_tfidf(df, id, tokens, table, mode)
     held = df.select(id, F.col(tokens).alias("_t"), _table(table, "term", "idf").alias("_v"))
 
     # Every array below is bound before a lambda uses it: an expression named inside a lambda would be
