@@ -52,3 +52,13 @@ def test_complete_copy_stays(spark):
     ]
     df = spark.createDataFrame([tuple(r[f.name] for f in TRANSACTIONS.fields) for r in rows], TRANSACTIONS)
     assert [r.message_id for r in dedup_transactions(df).collect()] == ["b"]
+
+
+def test_header_block(spark):
+    from tillroll.sources.mail import header_block
+
+    cases = [b"A: 1\r\nB: \xff\r\n\r\nbody\n\nmore", b"A: 1\n\nbody\r\n\r\n", b"A: no body", b"", None]
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, content binary")
+    got = [r.h for r in df.select("i", header_block(F.col("content")).alias("h")).orderBy("i").collect()]
+    assert [None if g is None else bytes(g).strip() for g in got[:-1]] == [b"A: 1\r\nB: \xff", b"A: 1\n\nbo", b"A: no body", b""]
+    assert got[-1] is None

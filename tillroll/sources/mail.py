@@ -34,7 +34,7 @@ _NO_SENDER = "Unknown Sender <unknown@unknown.com>"
 
 def _read_head(raw: bytes | None) -> tuple[str, str]:
     try:
-        head = _head_bytes(raw or b"")
+        head = raw or b""
         m = email.message_from_bytes(head)
         found = [m.get("subject"), m.get("from")]
         if any(not isinstance(v, str) or not v.isascii() or "=?" in v for v in found if v is not None):
@@ -47,10 +47,15 @@ def _read_head(raw: bytes | None) -> tuple[str, str]:
         return _NO_SUBJECT, _NO_SENDER
 
 
-def _head_bytes(raw: bytes) -> bytes:
-    """The header block, so that large bodies are not parsed for it."""
-    ends = [i for i in (raw.find(b"\r\n\r\n"), raw.find(b"\n\n")) if i >= 0]
-    return raw[: min(ends) + 4] if ends else raw
+def header_block(content: Column) -> Column:
+    """A message up to its first empty line, or all of it where there is none: bodies do not go to Python for this."""
+
+    def end(text: Column) -> Column:
+        breaks = (F.nullif(F.locate(mark, text), F.lit(0)) for mark in ("\r\n\r\n", "\n\n"))
+        return F.coalesce(F.least(*breaks) + 3, F.length(text))
+
+    # one character per byte
+    return F.substring(content, F.lit(1), bind(F.decode(content, "ISO-8859-1"), end))
 
 
 def _read_body(raw: bytes | None) -> tuple[str | None, str | None]:
@@ -93,7 +98,7 @@ def parse_messages(
 ) -> DataFrame:
     """Raw messages to the EMAILS columns; ``claimed_only`` drops mails no rule is for unparsed."""
     # Marked nondeterministic so that the filter on the result does not run the function twice.
-    head = _heads.asNondeterministic()(F.col(content))
+    head = _heads.asNondeterministic()(header_block(F.col(content)))
     headed = raw.select(F.col(id).alias("message_id"), content, *keep, head.alias("_h")).select(
         "message_id",
         content,
