@@ -239,6 +239,23 @@ def test_near_duplicate_edges(spark):
     assert jaccard.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_copies_that_link_only_to_their_original(spark):
+    """An original of common shingles and copies of it, edited in places of their own: no copy is near another one."""
+    r = random.Random(11)
+    original = [f"w{i}" for i in range(104)]
+    rows = [(5000, " ".join(original))]
+    for i in range(400):
+        t = list(original)
+        p, q = r.sample([*range(4, 96, 2)], 2)
+        for at in (p, p + 4, q):  # 14 shingles at most
+            t[at] = f"x{i}y{at}"
+        rows.append((i, " ".join(t)))
+    want = classes(rows)
+    assert jaccard._SHARDS == 64 and max(Counter(c for _, _, c in want).values()) > 300
+    got = {(x.doc_id, x.n_shingles, x.component_id) for x in jaccard.near_duplicates(frame(spark, rows, "doc_id long, text string")).collect()}
+    assert got == want
+
+
 def test_groups_over_batches():
     """Whatever the batches are, the pairs and members of sorted groups are the same."""
     r = random.Random(2)

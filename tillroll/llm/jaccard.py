@@ -203,7 +203,8 @@ def _common(docs: DataFrame, width: int) -> np.ndarray:
 def _collisions(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """What the signatures tell, by ``kind``: ``DOC`` a row of ``docs`` (``a`` its node, ``c`` its id, with the counts
     by cell), ``STAR`` a candidate pair (``a``, ``b``) of the first node of a group and another one that its size
-    allows, ``MEMBER`` a node ``b`` of a group ``a`` of three or more."""
+    allows, ``MEMBER`` a node ``b`` of a group ``a`` of three or more, or of a group of any size that was dealt over
+    shards (``c`` is then the key of the node's shard)."""
     common = _common(docs, width)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,10 +240,10 @@ def _collisions(docs: DataFrame, width: int, percent: int) -> DataFrame:
     rows = docs.mapInArrow(sign, _SIGNED)
     dealt = rows.repartition("g").sortWithinPartitions("g", "node", "size")
     first = stored(dealt.mapInArrow(share, _SHARED))
-    # the shards of a signature meet in their first nodes
+    # the shards of a signature meet in their first nodes; their members all stand under the whole signature already
     heads = first.where(F.col("kind") == HEAD).select(F.col("c").alias("g"), F.col("b").alias("node"), "size", F.lit(None).cast("long").alias("c"), "cells")
     second = heads.repartition("g").sortWithinPartitions("g", "node", "size").mapInArrow(share, _SHARED)
-    return first.where(F.col("kind") != HEAD).union(stored(second))
+    return first.where(F.col("kind") != HEAD).union(stored(second.where(F.col("kind") == STAR)))
 
 
 DOC, STAR, MEMBER, HEAD = range(4)
@@ -275,8 +276,8 @@ def _apart(a: bytes, b: bytes) -> int:
 def _shared(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Rows sorted by group and node to rows of ``_SHARED``; document rows (negative size) as they are.
 
-    Only the last row of a batch and its group's first are carried over, so groups may have any size. The first row
-    of a group that is a shard is also given as ``HEAD``, with its whole signature.
+    Only the last row of a batch and its group's first are carried over, so groups may have any size. The rows of a
+    group that is a shard are all members of its whole signature, and the first is also given as ``HEAD``.
     """
     held, head = None, None  # the last row, not given yet; (node, size) of its group's first and its place there
     for batch in chain(batches, (None,)):
@@ -314,10 +315,13 @@ def _shared(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
         if star.any():
             pairs = np.unique(np.stack([rep[star], node[star]]), axis=1)
             yield _given(STAR, pairs[0], pairs[1])
-        second = now & (nth == 1) & more
-        for at, n, s in ((now & (nth > 1) | second, node, size), (second, rep, rep_size)):
+        second = now & (nth == 1) & more & ~known
+        for at, n, s in ((now & (nth > 1) & ~known | second, node, size), (second, rep, rep_size)):
             if at.any():
                 yield _given(MEMBER, g[at], n[at], s[at])
+        dealt = now & known
+        if dealt.any():
+            yield _given(MEMBER, whole[dealt], node[dealt], size[dealt], g[dealt])
         first = now & (nth == 0) & known
         if first.any():
             yield _given(HEAD, g[first], node[first], size[first], whole[first])
@@ -332,6 +336,32 @@ def _given(kind, a, b=None, size=None, c=None, cells=None) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names=["kind", "a", "b", "size", "c", "cells"])
 
 
+#: Members of a group, apart from its largest component and in all, that are held against each other in one place.
+_LEFT, _RIGHT = 256, 1024
+
+
+def _across(members: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``(a, b)`` of nodes that share a group and no component, as far as their sizes allow.
+
+    ``members`` are the ``MEMBER`` rows ``(g, node, size, shard)``. Large groups are dealt in blocks of pairs.
+    """
+    placed = members.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    sizes = placed.groupBy("g", "shard", "component").count()
+    shards = sizes.select("g", "shard").distinct()
+    sizes = sizes.groupBy("g", "component").agg(F.sum("count").alias("count"))
+    main = sizes.groupBy("g").agg(F.max(F.struct("count", "component")).alias("top"), F.count("*").alias("n"), F.sum("count").alias("all")).where("n > 1")
+    main = main.select("g", F.col("top.component").alias("main"), F.ceil((F.col("all") - F.col("top.count")) / _LEFT).alias("rows"), F.ceil(F.col("all") / _RIGHT).alias("columns"))
+    apart = stored(placed.join(cut(main.join(shards, "g")), ["g", "shard"]))
+    deal = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    left = apart.where("component <> main").select("g", F.col("node").alias("a"), F.col("size").alias("n"), F.col("component").alias("x"), deal("rows").alias("i"), every("columns").alias("j"))
+    right = apart.select("g", F.col("node").alias("b"), F.col("size").alias("m"), F.col("component").alias("y"), "main", every("rows").alias("i"), deal("columns").alias("j"))
+    fits = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
+    once = (F.col("a") < F.col("b")) | (F.col("y") == F.col("main"))
+    pairs = left.join(right, ["g", "i", "j"]).where((F.col("x") != F.col("y")) & fits & once)
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 #: Documents of candidate pairs whose ids (16 bytes each) are broadcast to find their texts.
 _FEW = 200_000
 
@@ -410,19 +440,10 @@ def near_duplicates(df: DataFrame, width: int = 5, percent: int = 75) -> DataFra
     cells = named.groupBy("node").agg(F.min("size").alias("size"), F.min("cells").alias("cells"))
     links = _linked(docs, stars, names, cells, width, percent)
 
-    # across what is still apart in a group of three or more
+    # across what is still apart in a group of three or more, shards of a signature together
     known = cut(components(links))
-    placed = rows.where(F.col("kind") == MEMBER).select(F.col("a").alias("g"), F.col("b").alias("node"), "size").join(known, "node", "left")
-    placed = placed.withColumn("component", F.coalesce("component", "node"))
-    sizes = placed.groupBy("g", "component").count()
-    main = sizes.groupBy("g").agg(F.max(F.struct("count", "component")).alias("top"), F.count("*").alias("n")).where("n > 1")
-    apart = stored(placed.join(cut(main.select("g", F.col("top.component").alias("main"))), "g"))
-    left = apart.where("component <> main").select("g", F.col("node").alias("a"), F.col("size").alias("n"), F.col("component").alias("x"))
-    right = apart.select("g", F.col("node").alias("b"), F.col("size").alias("m"), F.col("component").alias("y"), "main")
-    fits = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
-    once = (F.col("a") < F.col("b")) | (F.col("y") == F.col("main"))
-    pairs = left.join(right, "g").where((F.col("x") != F.col("y")) & fits & once)
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
+    members = rows.where(F.col("kind") == MEMBER).select(F.col("a").alias("g"), F.col("b").alias("node"), "size", F.coalesce("c", F.lit(0)).alias("shard"))
+    pairs = _across(members, known, percent).join(stars, ["a", "b"], "left_anti")
     more = _linked(docs, pairs, names, cells, width, percent)
 
     tied = links.union(more)
