@@ -460,6 +460,30 @@ def test_fingerprints_are_guaranteed():
         assert marks[0] & marks[1]
 
 
+def test_line_dedup_is_brute_force(spark):
+    """Any run of 50 words that stands earlier goes, also where parts of it stand first in another context."""
+    r = random.Random(12)
+    pool = [" ".join(f"p{i}w{j}" for j in range(n)) for i, n in enumerate([13] * 24 + [1, 4, 60, 0])]
+    rows = []
+    for g in range(6):  # a lead-in of 39 words that an older document has, then the passage of 52
+        a, b, c, d = pool[4 * g : 4 * g + 4]
+        rows += [(10 * g, "\n".join([a, b, c])), *((10 * g + i, "\n".join([f"own {g} {i}", a, b, c, d])) for i in (1, 2, 3))]
+    rows += [(100 + i, "\n".join(r.choice(pool) for _ in range(r.randint(1, 14)))) for i in range(150)]
+    seen, want = set(), {}
+    for i, t in sorted(rows):
+        lines_, drop = t.split("\n"), set()
+        for s in range(len(lines_)):
+            for e in range(s + 1, len(lines_) + 1):
+                run = tuple(lines_[s:e])
+                if sum(len(x.split()) for x in run) >= 50:
+                    if run in seen:
+                        drop.update(range(s, e))
+                    seen.add(run)
+        want[i] = "\n".join(x for k, x in enumerate(lines_) if k not in drop), len(drop)
+    out = lines.drop_repeated_lines(frame(spark, rows, "doc_id long, text string")).collect()
+    assert {x.doc_id: (x.text, x.n_deleted) for x in out} == want
+
+
 def test_only_repeats_are_deleted(spark, docs):
     """What goes stands earlier, and single occurrences of lines stay."""
     before = {r.doc_id: r.text for r in docs.collect()}

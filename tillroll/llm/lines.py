@@ -1,12 +1,11 @@
-"""Line de-duplication by winnowing.
-
-Lines are hashed. A fingerprint is the digest of the lines from one on that hold half of ``min_words`` words; in each
-window of lines that hold the other half, the smallest line hash says where one is taken. A run of equal lines with
-``min_words`` words or more has such a window at its start and room for the fingerprint behind it, so the same
-fingerprint is taken wherever the run stands. Fingerprints are joined with their first occurrence in the corpus
-(by document id, then line), the match is extended line by line both ways, and if the run then has ``min_words``
-words its later occurrence is deleted. The first occurrence of anything is never deleted: what goes is always equal
-to lines that stand earlier.
+"""Line de-duplication by fingerprints of whole runs.
+
+Lines are hashed. From each line on, the shortest run of lines that holds ``min_words`` words is a window, and so is the
+shortest one that ends at each line; a fingerprint is the digest of a window's lines. Winnowing them is not possible
+without loss: a fingerprint of fewer words may stand first where less than a whole run is shared, and a run of just
+``min_words`` words has one window only. Every line of a longer run lies in one of the run's windows. All occurrences of
+a fingerprint but the first in the corpus (by document id, then line) are deleted: what goes is always equal to lines
+that stand earlier, and the first occurrence of a window always has the whole of it.
 """
 
 from __future__ import annotations
@@ -20,11 +19,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import cut, ship, slices
+from tillroll.llm.common import cut, mix, ship, slices
 
 #: Words of the shortest run that is deleted.
 MIN_WORDS = 50
 
+_STEP = np.uint64(0xD1342543DE82EF95)
+
 
 def line_hashes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Digest and number of words of each line. Lines end at a line feed and are equal when identical."""
@@ -33,36 +34,38 @@ def line_hashes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return h, np.fromiter((len(x.split()) for x in lines), dtype=np.int64, count=len(lines))
 
 
-def fingerprints(h: np.ndarray, words: np.ndarray, half: int) -> tuple[np.ndarray, np.ndarray]:
-    """(line, digest) of the fingerprints of a text: where a window's smallest line hash stands, leftmost first."""
+def windows(words: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ``[begin, end)`` of the shortest runs with ``least`` words from each line on and up to each line."""
     total = np.concatenate(([0], np.cumsum(words)))
-    # the shortest run from each line on that has half the words: lines [i, ends[i])
-    ends = np.searchsorted(total, total[:-1] + half, side="left")
-    taken, queue, head, reach = [], [], 0, 0
-    for i in range(len(h)):
-        if ends[i] > len(h):
-            break
-        while reach < ends[i]:  # a queue of rising hashes, the smallest of the window in front
-            while len(queue) > head and h[queue[-1]] > h[reach]:
-                queue.pop()
-            queue.append(reach)
-            reach += 1
-        while queue[head] < i:
-            head += 1
-        if not taken or taken[-1] != queue[head]:
-            taken.append(queue[head])
-    at = np.array([i for i in taken if ends[i] <= len(h)], dtype=np.int64)
-    keys = np.fromiter((xxhash.xxh3_64_intdigest(h[i : ends[i]].tobytes()) for i in at), dtype=np.uint64, count=len(at))
-    return at, keys.view(np.int64)
-
-
-def extended(a: np.ndarray, b: np.ndarray, shift: int, at: list[int]) -> list[tuple[int, int]]:
-    """Runs of ``a`` through the lines ``at`` that equal the lines of ``b`` that are ``shift`` lines earlier."""
-    low, high = max(0, shift), min(len(a), len(b) + shift)
-    other = a[low:high] != b[low - shift : high - shift]
-    breaks = np.concatenate(([low - 1], np.flatnonzero(other) + low, [high]))
-    k = np.unique(np.searchsorted(breaks, np.array(at)))
-    return [(int(breaks[i - 1]) + 1, int(breaks[i])) for i in k if 0 < i < len(breaks) and breaks[i] - breaks[i - 1] > 1]
+    n = len(words)
+    ends = np.searchsorted(total, total[:-1] + least, side="left")
+    begins = np.searchsorted(total, total[1:] - least, side="right") - 1
+    from_, to = np.flatnonzero(ends <= n), np.flatnonzero(begins >= 0)
+    both = np.unique(np.concatenate((from_ * (n + 1) + ends[from_], begins[to] * (n + 1) + to + 1)))
+    return both // (n + 1), both % (n + 1)
+
+
+def digests(h: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A digest of the line hashes of each window: of its length and the two blocks of ``2^k`` lines that cover it."""
+    out = np.zeros(len(begin), dtype=np.uint64)
+    if not len(begin):
+        return out
+    n = end - begin
+    level = np.frexp(n.astype(np.float64))[1] - 1
+    block = mix(h + _STEP)
+    for k in range(int(level.max()) + 1):
+        if k:
+            half = 1 << (k - 1)
+            block = mix(mix(block[:-half]) * _STEP + block[half:])
+        at = np.flatnonzero(level == k)
+        out[at] = mix(mix(mix(block[begin[at]]) * _STEP + block[end[at] - (1 << k)]) + n[at].astype(np.uint64))
+    return out
+
+
+def fingerprints(h: np.ndarray, words: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first line, digest) of the windows of a text."""
+    begin, end = windows(words, least)
+    return begin, digests(h, begin, end).view(np.int64)
 
 
 def repeated_runs(df: DataFrame, min_words: int = MIN_WORDS, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -71,57 +74,30 @@ def repeated_runs(df: DataFrame, min_words: int = MIN_WORDS, id: str = "doc_id",
     ``version`` is a digest of the text: rows that repeat id and text are one document.
     """
     ship(df.sparkSession)
-    half = max(1, min_words // 2)
     docs = df.where(F.col(id).isNotNull()).select(F.col(id).cast("long").alias("id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("version"), F.coalesce(text, F.lit("")).alias("text"))
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                rows, lines, keys = [], [], []
+                rows, begins, ends, keys = [], [], [], []
                 for i, t in enumerate(part.column("text").cast(pa.binary()).to_pylist()):
-                    at, key = fingerprints(*line_hashes(t), half)
-                    rows.append(np.full(len(at), i))
-                    lines.append(at)
-                    keys.append(key)
+                    h, words = line_hashes(t)
+                    begin, end = windows(words, max(1, min_words))
+                    rows.append(np.full(len(begin), i))
+                    begins.append(begin)
+                    ends.append(end)
+                    keys.append(digests(h, begin, end).view(np.int64))
                 of = pa.array(np.concatenate(rows))
+                spans = [pa.array(np.concatenate(x).astype(np.int32)) for x in (begins, ends)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id").take(of), part.column("version").take(of), pa.array(np.concatenate(lines).astype(np.int32)), pa.array(np.concatenate(keys))],
-                    names=["id", "version", "line", "key"],
+                    [part.column("id").take(of), part.column("version").take(of), *spans, pa.array(np.concatenate(keys))],
+                    names=["id", "version", "begin", "end", "key"],
                 )
 
-    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                both = [line_hashes(t) for t in part.column("text").cast(pa.binary()).to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), part.column("version"), pa.array([h.view(np.int64) for h, _ in both], pa.list_(pa.int64())), pa.array([w.astype(np.int32) for _, w in both], pa.list_(pa.int32()))],
-                    names=["id", "version", "hashes", "words"],
-                )
-
-    def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for r in batch.to_pylist():
-                words = np.concatenate(([0], np.cumsum(r["words"])))
-                for a, b in extended(np.array(r["hashes"]), np.array(r["first_hashes"]), r["shift"], r["lines"]):
-                    if words[b] - words[a] >= min_words:
-                        out.append((r["id"], r["version"], a, b))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), (pa.int64(), pa.int64(), pa.int32(), pa.int32()))], names=["id", "version", "begin", "end"])
-
-    marks = docs.mapInArrow(mark, "id long, version long, line int, key long")
-    where = F.struct("id", "version", "line")
+    marks = docs.mapInArrow(mark, "id long, version long, begin int, end int, key long")
+    where = F.struct("id", "version", "begin")
     first = cut(marks.groupBy("key").agg(F.min(where).alias("first"), F.count("*").alias("n")).where("n > 1").select("key", "first"))
-    met = marks.join(first, "key").where(where != F.col("first"))
-    # matches along one diagonal of two documents are extended together
-    pairs = met.select("id", "version", "line", F.col("first.id").alias("first_id"), F.col("first.version").alias("first_version"), (F.col("line") - F.col("first.line")).alias("shift"))
-    pairs = cut(pairs.groupBy("id", "version", "first_id", "first_version", "shift").agg(F.collect_list("line").alias("lines")))
-    wanted = cut(pairs.select("id", "version").union(pairs.select("first_id", "first_version")).distinct())
-    lines = docs.mapInArrow(hashes, "id long, version long, hashes array<long>, words array<int>")
-    lines = cut(lines.join(wanted, ["id", "version"]).dropDuplicates(["id", "version"]))
-    firsts = lines.select(F.col("id").alias("first_id"), F.col("version").alias("first_version"), F.col("hashes").alias("first_hashes"))
-    runs = pairs.join(lines, ["id", "version"]).join(firsts, ["first_id", "first_version"]).select("id", "version", "lines", "shift", "hashes", "words", "first_hashes")
-    found = runs.mapInArrow(extend, "id long, version long, begin int, end int")
+    found = marks.join(first, "key").where(where != F.col("first"))
     return found.groupBy(F.col("id").alias(id), "version").agg(F.collect_set(F.struct("begin", "end")).alias("runs"))
 
 
