@@ -8,6 +8,7 @@ import hashlib
 import random
 import re
 import struct
+import sys
 from collections import Counter, defaultdict
 
 import pyarrow as pa
@@ -72,6 +73,13 @@ def test_bpe_fragments_are_independent():
         assert b"".join(map(own.fragment, cut)) == struct.pack(f"<{len(whole)}I", *whole)
 
 
+def test_bpe_needs_the_library(monkeypatch):
+    """Without it, letters and digits of a later Unicode would silently get other ids."""
+    monkeypatch.setitem(sys.modules, "tokenizers", None)
+    with pytest.raises(ImportError):
+        bpe.ByteBpe(BYTE_BPE)
+
+
 def test_bpe_frames(spark):
     df = frame(spark, [(1, None, "x", None), (2, "", "x", None), (2, "a b", "x", "s"), (2, "a b", "x", "s")]).withColumn("ids", F.lit(7))
     out = bpe.encode(df, BYTE_BPE)

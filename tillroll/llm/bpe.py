@@ -44,12 +44,11 @@ def _byte_letters() -> dict[str, int]:
 def _newer_letters(path: str) -> tuple[regex.Pattern | None, regex.Pattern | None]:
     """Letters and digits of a later Unicode than the tokenizers library knows, and the pattern for texts with them.
 
-    The library is asked once for the class of each such character; where it isn't installed, none differ.
+    The library is asked once for the class of each such character. An executor without it fails: guessed classes would
+    give other ids.
     """
-    try:
-        from tokenizers import Tokenizer
-    except ImportError:
-        return None, None
+    from tokenizers import Tokenizer
+
     ask = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
     odd = []
     for kind, mate in ((r"\p{L}", "a"), (r"\p{N}", "1")):
