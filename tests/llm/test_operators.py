@@ -235,6 +235,16 @@ def test_near_duplicates_are_brute_force(spark):
     assert kept == {c for _, _, c in classes(rows)}
 
 
+def test_near_duplicates_are_dropped_by_row(spark):
+    """An id may have several texts: each stays or goes by its own links, and a group keeps one row."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a), (1, a + " z"), (2, a + " y"), (2, b), (3, c), (3, c), (4, b + " z"), (5, None), (5, None), (None, a)]
+    left = jaccard.drop_near_duplicates(frame(spark, rows, "doc_id long, text string")).collect()
+    got = Counter((r.doc_id, r.text) for r in left)
+    assert sum(n for (d, _), n in got.items() if d == 1) == 1
+    assert Counter({k: n for k, n in got.items() if k[0] != 1}) == Counter([(2, b), (3, c), (5, None), (5, None), (None, a)])
+
+
 def test_near_duplicates_on_documents(spark, docs):
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     assert {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard.near_duplicates(docs).collect()} == classes(rows)

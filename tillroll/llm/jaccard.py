@@ -24,7 +24,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import cut, mix, ship, slices, stored
@@ -201,8 +201,8 @@ def _common(docs: DataFrame, width: int) -> np.ndarray:
 
 
 def _collisions(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """What the signatures tell, by ``kind``: ``DOC`` a row of ``docs`` (``a`` its node, ``c`` its id, with the counts
-    by cell), ``STAR`` a candidate pair (``a``, ``b``) of the first node of a group and another one that its size
+    """What the signatures tell, by ``kind``: ``DOC`` a row of ``docs`` (``a`` its node, ``b`` the digest of its text,
+    ``c`` its id, with the counts by cell), ``STAR`` a candidate pair (``a``, ``b``) of the first node of a group and another one that its size
     allows, ``MEMBER`` a node ``b`` of a group ``a`` of three or more, or of a group of any size that was dealt over
     shards (``c`` is then the key of the node's shard)."""
     common = _common(docs, width)
@@ -216,7 +216,7 @@ def _collisions(docs: DataFrame, width: int, percent: int) -> DataFrame:
                 sizes = np.array([len(s) for s in sets], dtype=np.int32)
                 ids = part.column("doc_id")
                 spread = mix(np.arange(len(nodes), dtype=np.uint64) + nodes.view(np.uint64)).view(np.int64)
-                yield _signed(spread, nodes, -1 - sizes, ids, pa.array([_cells(s) for s in sets], pa.binary()))
+                yield _signed(spread, nodes, -1 - sizes, ids, pa.array([_cells(s) for s in sets], pa.binary()), part.column("digest"))
                 new = []
                 for i, ok in enumerate(ids.is_valid().to_pylist()):
                     if ok and sizes[i] and nodes[i] not in seen:
@@ -232,7 +232,7 @@ def _collisions(docs: DataFrame, width: int, percent: int) -> DataFrame:
                 shard = (nodes[who].view(np.uint64) % np.uint64(_SHARDS) + np.uint64(1)) * _STEP
                 g = np.where(plain, mix(sig ^ shard), sig).view(np.int64)
                 whole = pa.array(sig.view(np.int64), mask=~plain)
-                yield _signed(g, nodes[who], sizes[who], whole, pa.nulls(len(who), pa.binary()))
+                yield _signed(g, nodes[who], sizes[who], whole, pa.nulls(len(who), pa.binary()), pa.nulls(len(who), pa.int64()))
 
     def share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _shared(batches, percent)
@@ -241,18 +241,18 @@ def _collisions(docs: DataFrame, width: int, percent: int) -> DataFrame:
     dealt = rows.repartition("g").sortWithinPartitions("g", "node", "size")
     first = stored(dealt.mapInArrow(share, _SHARED))
     # the shards of a signature meet in their first nodes; their members all stand under the whole signature already
-    heads = first.where(F.col("kind") == HEAD).select(F.col("c").alias("g"), F.col("b").alias("node"), "size", F.lit(None).cast("long").alias("c"), "cells")
+    heads = first.where(F.col("kind") == HEAD).select(F.col("c").alias("g"), F.col("b").alias("node"), "size", F.lit(None).cast("long").alias("c"), "cells", F.lit(None).cast("long").alias("digest"))
     second = heads.repartition("g").sortWithinPartitions("g", "node", "size").mapInArrow(share, _SHARED)
     return first.where(F.col("kind") != HEAD).union(stored(second.where(F.col("kind") == STAR)))
 
 
 DOC, STAR, MEMBER, HEAD = range(4)
-_SIGNED = "g long, node long, size int, c long, cells binary"
+_SIGNED = "g long, node long, size int, c long, cells binary, digest long"
 _SHARED = "kind int, a long, b long, size int, c long, cells binary"
 
 
-def _signed(g, node, size, c, cells) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(g), pa.array(node), pa.array(size.astype(np.int32)), c, cells], names=["g", "node", "size", "c", "cells"])
+def _signed(g, node, size, c, cells, digest) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(g), pa.array(node), pa.array(size.astype(np.int32)), c, cells, digest], names=["g", "node", "size", "c", "cells", "digest"])
 
 
 def _cells(s: np.ndarray) -> bytes:
@@ -287,7 +287,7 @@ def _shared(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
             single = size < 0
             docs = batch.filter(pa.array(single))
             if docs.num_rows:
-                yield _given(DOC, docs.column(1), None, -1 - size[single], docs.column(3), docs.column(4))
+                yield _given(DOC, docs.column(1), docs.column(5), -1 - size[single], docs.column(3), docs.column(4))
             whole = batch.column(3)
             columns = [g, node, size, np.asarray(whole.is_valid()), whole.fill_null(0).to_numpy()]
             columns = [c[~single] for c in columns]
@@ -419,23 +419,19 @@ def _linked(docs: DataFrame, pairs: DataFrame, names: DataFrame, cells: DataFram
     return cut(close.join(one, "a").join(two, "b").where(shared * 100 >= union * percent).select("a", "b"))
 
 
-def near_duplicates(df: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
-    """``(doc_id, n_shingles, component_id)`` of each row of ``df`` (its ``doc_id`` and ``text`` are read).
+def _digest() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
 
-    Documents link when ``100 * |A & B| >= percent * |A | B|`` over their sets of distinct ``width``-word shingles
-    (words by ASCII white space, A-Z lower-cased; fewer words are one shingle together). ``component_id`` is the
-    smallest ``doc_id`` reachable by links, itself included. Exact up to 64-bit digests of shingles and sets.
 
-    Null and empty texts and texts of white space have no shingles and link with nothing. Repeated rows are given
-    repeatedly, with one component. A null ``doc_id`` takes no part: its ``component_id`` is null. An id that has
-    several texts is linked through each of them, and its rows tell the component of their own text.
-    """
+def _links(df: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows ``(doc, node, digest, size, cells)`` of ``df``; of each node its smallest id (``name``) and smallest id with
+    text digest (``first``); links ``(a, b)`` of nodes, as far as its component needs them."""
     ship(df.sparkSession)
-    docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _digest().alias("digest"))
     rows = _collisions(docs, width, percent)
-    every = rows.where(F.col("kind") == DOC).select(F.col("c").alias("doc"), F.col("a").alias("node"), "size", "cells")
+    every = rows.where(F.col("kind") == DOC).select(F.col("c").alias("doc"), F.col("a").alias("node"), F.col("b").alias("digest"), "size", "cells")
     named = every.where("size > 0 and doc is not null")
-    names = cut(named.groupBy("node").agg(F.min("doc").alias("name")))
+    names = cut(named.groupBy("node").agg(F.min("doc").alias("name"), F.min(F.struct("doc", "digest")).alias("first")))
     stars = cut(rows.where(F.col("kind") == STAR).select("a", "b").distinct())
     cells = named.groupBy("node").agg(F.min("size").alias("size"), F.min("cells").alias("cells"))
     links = _linked(docs, stars, names, cells, width, percent)
@@ -446,11 +442,29 @@ def near_duplicates(df: DataFrame, width: int = 5, percent: int = 75) -> DataFra
     pairs = _across(members, known, percent).join(stars, ["a", "b"], "left_anti")
     more = _linked(docs, pairs, names, cells, width, percent)
 
-    tied = links.union(more)
-    tied = tied.join(names.select(F.col("node").alias("a"), F.col("name").alias("u")), "a").join(names.select(F.col("node").alias("b"), F.col("name").alias("v")), "b")
-    found = components(tied, "u", "v")
-    ends = names.join(found.withColumnRenamed("node", "name"), "name", "left")
-    ends = cut(ends.select("node", F.coalesce("component", "name").alias("component")))
+    return every, names, links.union(more)
+
+
+def _ends(names: DataFrame, tied: DataFrame, by: str) -> DataFrame:
+    """``(node, component)``: the smallest value of ``by`` that links lead to, nodes of one value taken together."""
+    tied = tied.join(names.select(F.col("node").alias("a"), F.col(by).alias("u")), "a").join(names.select(F.col("node").alias("b"), F.col(by).alias("v")), "b")
+    found = components(tied, "u", "v").withColumnRenamed("node", by)
+    return cut(names.join(found, by, "left").select("node", F.coalesce("component", by).alias("component")))
+
+
+def near_duplicates(df: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
+    """``(doc_id, n_shingles, component_id)`` of each row of ``df`` (its ``doc_id`` and ``text`` are read).
+
+    Documents link when ``100 * |A & B| >= percent * |A | B|`` over their sets of distinct ``width``-word shingles
+    (words by ASCII white space, A-Z lower-cased; fewer words are one shingle together). ``component_id`` is the
+    smallest ``doc_id`` reachable by links, itself included. Exact up to 64-bit digests of shingles and sets.
+
+    Null and empty texts and texts of white space have no shingles and link with nothing. Repeated rows are given
+    repeatedly, with one component. A null ``doc_id`` takes no part: its ``component_id`` is null. An id that has
+    several texts is linked through each of them, and its rows tell the component of their own text.
+    """
+    every, names, tied = _links(df, width, percent)
+    ends = _ends(names, tied, "name")
     return every.join(ends, "node", "left").select(
         F.col("doc").alias("doc_id"),
         F.col("size").cast("long").alias("n_shingles"),
@@ -459,6 +473,18 @@ def near_duplicates(df: DataFrame, width: int = 5, percent: int = 75) -> DataFra
 
 
 def drop_near_duplicates(df: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
-    """The rows of ``df`` but those of documents that are linked to one with a smaller ``doc_id``."""
-    gone = near_duplicates(df, width, percent).where("doc_id <> component_id").select("doc_id").distinct()
-    return df.join(gone, "doc_id", "left_anti").select(*df.columns)
+    """The rows of ``df`` but those whose text is linked to one with a smaller ``doc_id``, or with the same one and a
+    smaller digest. Of rows that repeat id and text, the smallest by its columns stays. Rows without an id or without
+    shingles stay as they are."""
+    every, names, tied = _links(df, width, percent)
+    rows = every.where("size > 0 and doc is not null").join(_ends(names, tied, "first"), "node")
+    rows = rows.groupBy(F.col("doc").alias("x"), F.col("digest").alias("w"), "component").agg(F.count("*").alias("times"))
+    first = (F.col("x") == F.col("component.doc")) & (F.col("w") == F.col("component.digest"))
+    gone = cut(rows.where(~first | (F.col("times") > 1)).select("x", "w", first.alias("first")))
+    keyed = df.select(F.struct(*df.columns).alias("row"), F.col("doc_id").cast("long").alias("x"), _digest().alias("w"))
+    out = keyed.join(gone, ["x", "w"], "left_anti").select("row.*")
+    twins = gone.where("first")
+    if twins.isEmpty():
+        return out
+    again = keyed.join(twins, ["x", "w"], "left_semi").groupBy("x", "w").agg(F.min("row").alias("row"))
+    return out.union(again.select("row.*"))
