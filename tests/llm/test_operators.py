@@ -107,6 +107,16 @@ def test_chunk_maps_compose():
     assert own.scan(maps)[-1] == own.chunk_map(text)
 
 
+def test_chunk_maps_are_composed_in_pairs(monkeypatch):
+    own, text = tokens.Transducer(PIECE_BPE), "the thing is " * 200
+    want, compose, right = own.count(text), own.compose, []
+    monkeypatch.setattr(own, "compose", lambda a, b: right.append(len(b[0]) + len(b[2])) or compose(a, b))
+    assert own.count(text, chunk=8) == want and len(right) == -(-len(own.lead + text) // 8) - 1
+    word, right[:] = "x" * 1024, []
+    assert own.count(word, chunk=8) == own.run(own.lead + word)
+    assert max(right) > 256  # the last rounds put long halves together
+
+
 def test_token_count_frame(spark):
     df = frame(spark, [(1, None, "x", None), (2, LONG, "x", None)]).withColumn("n_tokens", F.lit("clash"))
     out = {r.doc_id: (r.n_bytes, r.n_tokens, r.over_limit) for r in tokens.token_counts(df, PIECE_BPE).collect()}

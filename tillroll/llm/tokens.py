@@ -13,8 +13,9 @@ carries the number of tokens that it emits. States and arcs are compiled when a
 of states is finite, and a worker starts anew beyond ``STATES``.
 
 Long texts are read in chunks. What a chunk does to any state is its map: the characters before its first cut, the
-tokens between, the characters after its last cut. Maps compose associatively, and ``scan`` composes them by
-doubling, so chunks can be read in any order.
+tokens between, the characters after its last cut. Maps compose associatively, so chunks can be read in any order: a
+count composes neighbours in rounds, ``scan`` gives the maps of all prefixes by doubling. A word without a cut is put
+together and read by one worker.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from __future__ import annotations
 import heapq
 import re
 from collections.abc import Iterator
-from functools import lru_cache, reduce
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -216,6 +217,12 @@ class Transducer:
             reach *= 2
         return out
 
+    def total(self, maps: list[tuple[str, int | None, str]]) -> tuple[str, int | None, str]:
+        """The map of all chunks together, neighbours first: a word over many chunks is copied once a round."""
+        while len(maps) > 1:
+            maps = [self.compose(*maps[i : i + 2]) if i + 1 < len(maps) else maps[i] for i in range(0, len(maps), 2)]
+        return maps[0]
+
     def count(self, text: str, chunk: int = CHUNK) -> int:
         """Tokens of a text, without begin or end marks; strings of control pieces are ordinary text."""
         if not text:
@@ -224,7 +231,7 @@ class Transducer:
         if len(text) <= chunk:
             return sum(map(self.words.__getitem__, self._word.findall(text)))
         maps = [self.chunk_map(text[i : i + chunk]) for i in range(0, len(text), chunk)]
-        head, between, tail = reduce(self.compose, maps)
+        head, between, tail = self.total(maps)
         return (self.words[head] if head else 0) + (between or 0) + (self.words[tail] if tail else 0)
 
 
