@@ -121,5 +121,5 @@ def test_pipeline_on_odd_rows(spark, sf, tmp_path):
 
 
 def test_registered():
-    assert [q.split("_")[0] for q in suite.QUERIES] == [*(f"op{n}" for n in range(1, 11)), "pipeline"]
+    assert [q.split("_")[0] for q in suite.QUERIES] == [*(f"op{n}" for n in range(1, 14)), "pipeline"]
     assert langid.UNKNOWN == "und"

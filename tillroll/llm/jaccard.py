@@ -67,8 +67,8 @@ def _powers_of(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers(n, _BASE), _powers(n, pow(_BASE, -1, 1 << 64))
 
 
-def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(start, hash) of each run of bytes that are no white space, A-Z taken as a-z.
+def word_hashes(data: np.ndarray, letters: np.ndarray = _BYTE) -> tuple[np.ndarray, np.ndarray]:
+    """(start, hash) of each run of bytes that are no white space, A-Z taken as a-z unless ``letters`` tell them apart.
 
     A polynomial hash by prefix sums, block by block; a block ends at white space.
     """
@@ -90,7 +90,7 @@ def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             up, down = _powers_of(end - at)
             total = np.empty(end - at + 1, dtype=np.uint64)
             total[0] = 0
-            np.cumsum(_BYTE[data[at:end]] * up[: end - at], out=total[1:])
+            np.cumsum(letters[data[at:end]] * up[: end - at], out=total[1:])
             hashes.append(mix((total[b] - total[a]) * down[a] + (b - a).astype(np.uint64) * _STEP))
             starts.append(a + at)
         at = end

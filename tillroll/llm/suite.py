@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tillroll.llm import bpe, chat, exact, jaccard, langid, lines, mixing, tokens, topk, urls
+from tillroll.llm import align, audit, bpe, chat, exact, jaccard, langid, lines, mixing, substrings, tokens, topk, urls
 from tillroll.llm.common import table
 
 
@@ -79,13 +79,32 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(docs, vocabulary_path("piece_bpe_32k.model"), keep=["doc_id"])
 
 
+def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    paths = (vocabulary_path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return align.align(docs, *paths, keep=["doc_id"], digest=True).withColumnRenamed("groups", "groups_sha256")
+
+
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = substrings.drop_repeated_spans(docs)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+def op13_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_bpe, op2_exact_dedup, op3_chat, op4_ngram_join, op5_url_rules, op6_top_k, op7_language, op8_mix, op9_line_dedup, op10_token_counts, pipeline)
+    for f in (
+        op1_bpe, op2_exact_dedup, op3_chat, op4_ngram_join, op5_url_rules, op6_top_k, op7_language, op8_mix, op9_line_dedup, op10_token_counts,
+        op11_align, op12_substring_dedup, op13_source_audit, pipeline,
+    )
 }
 
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -144,4 +163,36 @@ ORACLES = {
                CAST(size * CASE WHEN source_size = 0 THEN 0 ELSE least(3, rounds + CASE WHEN target - rounds * source_size > 0
                     AND 2 * before + words <= 2 * (target - rounds * source_size) THEN 1 ELSE 0 END) END AS BIGINT) AS taken
         FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source JOIN c ON d.source IS NOT DISTINCT FROM c.source AND d.h = c.h""",
+    "op12_substring_dedup": rf"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents),
+             s AS (SELECT r, doc_id, w, unnest(range(1, len(w) - 48)) AS pos FROM d WHERE len(w) >= 50),
+             k AS (SELECT r, doc_id, pos, sha256(array_to_string(w[pos : pos + 49], ' ')) AS k FROM s),
+             m AS (SELECT k, min(doc_id) AS low FROM k GROUP BY k),
+             g AS (SELECT r, pos FROM k JOIN m USING (k) WHERE doc_id > low),
+             x AS (SELECT DISTINCT r, unnest(range(pos, pos + 50)) AS i FROM g),
+             a AS (SELECT r, list(i) AS gone FROM x GROUP BY r),
+             e AS (SELECT d.*, coalesce(gone, []) AS gone,
+                          CASE WHEN gone IS NULL THEN w ELSE list_transform(list_filter(range(1, len(w) + 1), lambda i: NOT list_contains(gone, i)), lambda i: w[i]) END AS kept
+                   FROM d LEFT JOIN a USING (r))
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(gone) AS BIGINT) AS n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM e""",
+    "op13_source_audit": rf"""
+        WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+             t AS (SELECT r, lang, source, {_LOWER.format("unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+'))")} AS term FROM d),
+             k AS (SELECT lang, term, count(*) AS total FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+             g AS (SELECT DISTINCT lang, source FROM d),
+             n AS (SELECT lang, source, term, count(*) AS n FROM t JOIN k USING (lang, term) GROUP BY lang, source, term),
+             z AS (SELECT g.lang, g.source, coalesce(sum(n), 0) AS size FROM g LEFT JOIN n USING (lang, source) GROUP BY g.lang, g.source),
+             v AS (SELECT lang, count(*) AS kinds, sum(total) AS size FROM k GROUP BY lang),
+             p AS (SELECT z.lang, z.source, k.term, coalesce(n.n, 0) AS n,
+                          CAST(1 + CAST(1000000000 AS HUGEINT) * (coalesce(n.n, 0) + 2) // (z.size + 2 * kinds) AS HUGEINT) AS p,
+                          CAST(1 + CAST(1000000000 AS HUGEINT) * (total + 2) // (v.size + 2 * kinds) AS HUGEINT) AS q
+                   FROM z JOIN k USING (lang) JOIN v USING (lang) LEFT JOIN n ON n.lang = z.lang AND n.source = z.source AND n.term = k.term),
+             f AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+                   FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+             o AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+                   FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+                   UNION ALL
+                   SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // (p + q) AS BIGINT) FROM p WHERE n > 0 AND p > q),
+             w AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS INTEGER) AS rank FROM o)
+        SELECT * FROM w WHERE part = 'pair' OR rank <= 10""",
 }
