@@ -111,6 +111,14 @@ def test_op11(spark, sf):
         assert r.groups_sha256 == (sha(w[-1]) if w[-1] else "")
 
 
+def test_the_faster_library_is_the_same():
+    both = align.vocabularies(BYTE_BPE, PIECE_BPE)
+    old = [chr(c) for c in range(0x250) if align._OLD.fullmatch(chr(c))]
+    texts = [t for c in old for t in (c, f"a{c}b", f" {c} ", f"{c}{c}1", f"1{c} x", f"!{c}", f"{c}'s", f"'{c}")] + ["x" * 50_000, " " * 50_000]
+    want = both.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
+    assert [both.a_fast.encode_ordinary(" " + t) for t in texts] == [w.ids for w in want]
+
+
 def test_alignment_of_nothing(spark):
     assert align.align(frame(spark, [], "doc_id long, text string"), BYTE_BPE, PIECE_BPE, digest=True).count() == 0
     rows = align.align(frame(spark, [(None, None), (None, ""), (1, "▁")], "doc_id long, text string"), BYTE_BPE, PIECE_BPE, digest=True).collect()

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -34,6 +35,8 @@ PIECE = 1 << 16
 HOT = 50_000
 
 _SPACE = "▁"  # how pieces write a space
+#: ASCII and the accented Latin letters.
+_OLD = re.compile("[\x00-\x7f\u00c0-\u024f]*")
 
 
 class Pair:
@@ -42,9 +45,10 @@ class Pair:
     def __init__(self, a_path: str, b_path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from sentencepiece import SentencePieceProcessor
+        from tiktoken import Encoding
         from tokenizers import Tokenizer
 
-        from tillroll.llm.bpe import _byte_letters
+        from tillroll.llm.bpe import _PATTERN, _byte_letters
 
         self.a = Tokenizer.from_file(a_path)
         self.a.encode_special_tokens = True
@@ -56,23 +60,34 @@ class Pair:
         for token, i in self.a.get_vocab().items():
             plain = all(c in letters for c in token)
             self.a_bytes[i] = bytes(letters[c] for c in token) if plain else token.encode()
+        special = set(self.a.get_added_tokens_decoder())
+        ranks = {t: i for i, t in enumerate(self.a_bytes) if i not in special}
+        self.a_fast = Encoding("a", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={})
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(_SPACE, " ").encode() for i, p in enumerate(pieces)]
         self.a_size, self.b_size = (np.array([len(t) for t in x], dtype=np.int64) for x in (self.a_bytes, self.b_bytes))
         # what stands after an id: 0 nothing, 1 and 2 go on in the group, 3 ends the group's A side, 4 the group
         self.marks = ["", ",", ",", "|", ";"]
 
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids of A for a space and the text, and of B for the text, which puts a space first itself; no ids for empty
-        texts and where the bytes of the tokens are not that text."""
+        texts and where the bytes of the tokens are not that text.
+
+        Texts of letters that have been in Unicode from its first version go through the faster library, which reads the
+        same vocabulary and knows the same letters there.
+        """
+        none = np.zeros(0, dtype=np.int64)
+        a, b = [none] * len(texts), [none] * len(texts)
         some = [i for i, t in enumerate(texts) if t]
-        a, b = [[]] * len(texts), [[]] * len(texts)
-        coded = self.a.encode_batch_fast([" " + texts[i] for i in some], add_special_tokens=False)
-        pieces = self.b.encode([texts[i] for i in some], num_threads=1)
-        for i, x, y in zip(some, coded, pieces):
-            x, want = x.ids, (" " + texts[i]).encode("utf-8")
-            if want == b"".join(map(self.a_bytes.__getitem__, x)) and want == b"".join(map(self.b_bytes.__getitem__, y)):
-                a[i], b[i] = x, y
+        late = [i for i in some if not _OLD.fullmatch(texts[i])]
+        slow = dict(zip(late, self.a.encode_batch_fast([" " + texts[i] for i in late], add_special_tokens=False)))
+        for i, y in zip(some, self.b.encode([texts[i] for i in some], num_threads=1)):
+            want = " " + texts[i]
+            if want.encode("utf-8") != b"".join(map(self.b_bytes.__getitem__, y)):
+                continue
+            x = np.array(slow[i].ids) if i in slow else self.a_fast.encode_to_numpy(want, disallowed_special=())
+            if int(self.a_size[x].sum()) == int(self.b_size[y].sum()):  # a byte-level vocabulary changes no byte
+                a[i], b[i] = x.astype(np.int64), np.array(y, dtype=np.int64)
         return a, b
 
 
@@ -171,29 +186,27 @@ def _aligned(df: DataFrame, kept: list[str], a_path: str, b_path: str, text: str
                 texts = [t or "" for t in part.column(text).to_pylist()]
                 x, y = both.encode(texts)
                 n_a, n_b = (np.array([len(v) for v in z], dtype=np.int64) for z in (x, y))
-                a, b = (np.array([i for v in z for i in v], dtype=np.int64) for z in (x, y))
+                a, b = (np.concatenate(z) for z in (x, y))
                 of_a, of_b = np.repeat(np.arange(len(texts)), n_a), np.repeat(np.arange(len(texts)), n_b)
                 # texts follow each other, so that their ends are one sorted list
                 i, j, a_end, b_end = merge(np.cumsum(both.a_size[a]), np.cumsum(both.b_size[b]))
                 written = group_texts(both, a, b, of_a, of_b, a_end, b_end, len(texts))
                 if digest:
                     written = [hashlib.sha256(w.encode()).hexdigest() if w else "" for w in written]
-                number, code = of_a[i], a[i] * len(both.b_bytes) + b[j]
-                order = np.lexsort((code, number))
-                number, code = number[order], code[order]
-                first = np.flatnonzero(np.append(True, (number[1:] != number[:-1]) | (code[1:] != code[:-1]))) if len(code) else order
-                times = np.diff(np.append(first, len(code)))
-                at = pa.array(np.searchsorted(number[first], np.arange(len(texts) + 1)).astype(np.int32))
+                kinds = len(both.a_bytes) * len(both.b_bytes)
+                code, times = np.unique(of_a[i] * kinds + a[i] * len(both.b_bytes) + b[j], return_counts=True)
+                number, code = code // kinds, code % kinds
+                at = pa.array(np.searchsorted(number, np.arange(len(texts) + 1)).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [
                         *(part.column(c) for c in kept),
                         pa.array(n_a),
                         pa.array(n_b),
                         pa.array(np.bincount(of_a[a_end], minlength=len(texts))),
-                        pa.array(np.bincount(number, minlength=len(texts))),
+                        pa.array(np.bincount(of_a[i], minlength=len(texts))),
                         pa.array(written, pa.string()),
                         pa.array(row + np.arange(len(texts))),
-                        pa.ListArray.from_arrays(at, pa.array(code[first])),
+                        pa.ListArray.from_arrays(at, pa.array(code)),
                         pa.ListArray.from_arrays(at, pa.array(times.astype(np.int32))),
                     ],
                     names=[*kept, "n_a", "n_b", "n_groups", "n_links", "groups", "row", "pairs", "times"],
