@@ -49,7 +49,7 @@ def main() -> None:
         "match_providers": lambda: extract.match_providers(emails).select("message_id", "providers"),
         "extract_transactions": lambda: extract.extract_transactions(emails),
         "extract_monthly": monthly,
-        "route": lambda: route.route(extract.gate(emails), extract.extract_transactions(emails)),
+        "route": lambda: route.route(extract.gate(emails)),
         "dedup": lambda: route.dedup_transactions(extract.extract_transactions(emails)),
         "weak_label": lambda: weak_label(
             emails.select(

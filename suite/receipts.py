@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,8 +14,9 @@ from pyspark.sql.functions import udtf
 from fixtures.render import render_emails
 from suite.expected import TX_COLUMNS, with_base, with_expected
 from tillroll.functions import html, text
-from tillroll.operators import extract, plugin, route
+from tillroll.operators import extract, outcome, plugin, route
 from tillroll.operators.titles import label_batches, score_titles, train_title_model, weak_label
+from tillroll.plans import rule
 from tillroll.plans.rule import all_rules
 from tillroll.schemas import TRANSACTIONS
 from tillroll.session import checkpoint_root
@@ -168,8 +170,8 @@ SELECT message_id, {_DOMAIN} AS from_domain,
 FROM msgs WHERE k % 23 <> 0 OR vi = 13 OR (k % 10) / 10.0 > 0.5"""))
 def route_messages(spark, sf):
     emails = render_emails(spark, sf)
-    gated = extract.gate(emails, _scores(emails), 0.5)
-    return route.route(gated, extract.extract_transactions(emails))
+    number = F.regexp_extract("message_id", "^([0-9]+)", 1).cast("bigint")
+    return route.route(extract.gate(emails.withColumn("score", (number % 10) / 10), threshold=0.5))
 
 
 @query(with_base(f"""
@@ -310,6 +312,59 @@ def parse_messages(spark, sf):
     return shown(extract.extract_transactions(mail.parse_messages(raw, claimed_only=True)))
 
 
+#: What is broken, by the order number: stage, how the error is named, its detail.
+_BROKEN = [
+    ("headers", "EmptyMessage", None),
+    ("headers", "NoHeaders", None),
+    ("body", "LookupError", "unknown encoding: x-none"),
+    ("body", "NoBody", "application/pdf"),
+]
+_WAYS = ", ".join(f"({i}, '{stage}', '{error}', {'NULL' if detail is None else repr(detail)})" for i, (stage, error, detail) in enumerate(_BROKEN))
+
+
+def _with_broken(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw messages of which every 29th is broken in one of some ways."""
+    k = F.regexp_extract("message_id", "^([0-9]+)", 1).cast("bigint")
+    raw = _raw_messages(spark, sf).select("message_id", mail.decode_raw(F.col("raw")).alias("content"), (k % 29 == 0).alias("bad"), (k % 4).alias("way"))
+    text = F.decode("content", "UTF-8")
+    odd = F.encode(F.replace(text, F.lit("charset=utf-8"), F.lit("charset=x-none")), "UTF-8")
+    pdf = F.encode(F.replace(text, F.lit("text/html; charset=utf-8"), F.lit("application/pdf")), "UTF-8")
+    way = F.col("way")
+    broken = F.when(way == 1, F.lit(b"\xff\xfe not a mail")).when(way == 2, odd).when(way == 3, pdf)
+    return raw.select("message_id", F.when(F.col("bad"), broken).otherwise(F.col("content")).alias("content"))
+
+
+@query(with_base(f"""
+SELECT message_id, coalesce(b.status, m.status) AS status,
+  CAST(CASE WHEN b.status IS NULL AND m.status = 'proper' THEN 1 ELSE 0 END AS BIGINT) AS n_proper,
+  coalesce(stage, CASE m.status WHEN 'improper' THEN 'fields' WHEN 'unparsed' THEN 'match' END) AS stage,
+  coalesce(error, CASE m.status WHEN 'improper' THEN 'MissingField' WHEN 'unparsed' THEN 'NoProvider' END) AS error,
+  CASE WHEN b.status IS NOT NULL THEN detail WHEN m.status = 'improper' THEN lacks END AS detail
+FROM (SELECT message_id, k, CASE WHEN k % 23 = 0 AND vi <> 13 THEN 'unparsed' WHEN k % 17 = 0 THEN 'improper' ELSE 'proper' END AS status,
+  CASE WHEN vi IN (10, 12, 13, 14, 15, 16, 17, 18, 26, 27, 28, 31, 32) THEN 'amount,currency' WHEN vi = 8 THEN 'amount,description' ELSE 'amount' END AS lacks FROM msgs) m
+LEFT JOIN (SELECT 'broken' AS status, * FROM (VALUES {_WAYS}) v(way, stage, error, detail)) b ON k % 29 = 0 AND k % 4 = way"""))
+def quarantine(spark, sf):
+    """Every mail with what became of it: planted broken ones have their reason, the others are as they were."""
+    path = _scratch(spark, "quarantine")
+    found = outcome.outcomes(mail.parse_messages(_with_broken(spark, sf), faults=True))
+    found.select("message_id", "status", "n_proper", "fault").write.parquet(path + "/all")
+    kept = spark.read.parquet(path + "/all")
+    tables.write_quarantine(outcome.quarantine(kept), path + "/faults")
+    return kept.drop("fault").join(tables.read_quarantine(spark, path + "/faults"), "message_id", "left")
+
+
+@query(with_base(f"""
+SELECT from_domain, count(*) AS n FROM (SELECT {_DOMAIN} AS from_domain, * FROM msgs)
+WHERE (k % 23 <> 0 OR vi = 13 OR (k % 10) / 10.0 > 0.5) AND ((k % 23 = 0 AND vi <> 13) OR k % 17 = 0) GROUP BY ALL"""))
+def unparsed_files(spark, sf):
+    """The unparsed sink, written by sender domain and read back."""
+    path = _scratch(spark, "unparsed")
+    emails = render_emails(spark, sf)
+    number = F.regexp_extract("message_id", "^([0-9]+)", 1).cast("bigint")
+    tables.write_unparsed(route.unparsed(extract.gate(emails.withColumn("score", (number % 10) / 10), threshold=0.5)), path)
+    return spark.read.parquet(path).where("body_html IS NOT NULL").groupBy("from_domain").agg(F.count("*").alias("n"))
+
+
 @query("SELECT least(count(*) + count(*) FILTER (WHERE o_orderkey % 19 = 0), 10000) AS n FROM orders")
 def take_messages(spark, sf):
     return mail.take_messages(render_emails(spark, sf), 10_000).agg(F.count("*").alias("n"))
@@ -382,13 +437,62 @@ class _SubjectReceipt:
             yield subject[17:], from_addr.split("@")[1]
 
 
+def _subject_receipts():
+    """The same for batches of mails. It fails at titles of one provider."""
+
+    def read(mails):
+        rows = []
+        for subject, sender in zip(mails.column("subject").to_pylist(), mails.column("from_addr").to_pylist()):
+            if subject.startswith("UniPin"):
+                raise ValueError("no receipt number in " + subject)
+            mine = subject.startswith("Your receipt No. ")
+            rows.append([{"trx_id": subject[17:], "merchant": sender.split("@")[1]}] if mine else [])
+        return rows
+
+    return read
+
+
+_RECEIPT = "trx_id string, merchant string"
+
+
 @query(with_base("""
 SELECT message_id, id AS trx_id, 'xsolla.com' AS merchant FROM msgs WHERE vi = 34 AND k % 23 <> 0"""))
 def register_extractor(spark, sf):
+    plugin.register_extractor(spark, "subject_receipts", _subject_receipts(), _RECEIPT)
+    return plugin.extract_with(render_emails(spark, sf), "subject_receipts", body="body_html")
+
+
+@query(ORACLES["register_extractor"])
+def register_extractor_rows(spark, sf):
+    """The extractor as a table function, called for every mail."""
     plugin.register_extractor(spark, "subject_receipt", _SubjectReceipt)
     return plugin.extract_with(render_emails(spark, sf), "subject_receipt", body="body_html")
 
 
+@query(with_base("""
+SELECT message_id, 'plugin' AS stage, 'ValueError' AS error,
+  'no receipt number in UniPin :: Success Flash Top Up Transaction' AS detail
+FROM msgs WHERE vi = 33 AND k % 23 <> 0"""))
+def extractor_faults(spark, sf):
+    """Mails at which a batch extractor fails; all others of their batches are extracted."""
+    plugin.register_extractor(spark, "subject_receipts", _subject_receipts(), _RECEIPT)
+    return outcome.quarantine(plugin.outcomes_with(render_emails(spark, sf), "subject_receipts", body="body_html"))
+
+
+@query(with_base("""
+SELECT message_id, id AS trx_id, CAST(amt AS DOUBLE) AS amount FROM msgs WHERE vi = 34 AND k % 23 <> 0 AND k % 17 <> 0"""))
+def register_rule(spark, sf):
+    """A layout of the caller's own, for mails that a built-in one is for too."""
+    known = next(r for r in all_rules() if r.provider == "xsolla")
+    own = replace(known, provider="own", variant="kept")
+    rule.register_rule(own)
+    try:
+        tx = extract.extract_transactions(render_emails(spark, sf)).where("provider = 'own' AND amount IS NOT NULL")
+    finally:
+        rule.unregister_rule("own", "kept")
+    return tx.select("message_id", "trx_id", F.col("amount").cast("double").alias("amount"))
+
+
 def _titles(spark: SparkSession, sf: str) -> DataFrame:
     mails = render_emails(spark, sf)
     return mails.select(

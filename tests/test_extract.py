@@ -124,7 +124,7 @@ def test_broken_values_lose_only_themselves(spark):
     rows = {r.message_id: r for r in extract.extract_transactions(df).collect()}
     assert rows["1"].date is None and rows["1"].amount is None and rows["1"].trx_id == "C1"
     assert "3" not in rows  # claimed, but none of its layouts fits
-    status = {r.message_id: r.status for r in route.route(extract.gate(df), extract.extract_transactions(df)).collect()}
+    status = {r.message_id: r.status for r in route.route(extract.gate(df)).collect()}
     assert status == {"1": "improper", "2": "improper", "3": "unparsed"}
     assert {r.message_id for r in route.unparsed(extract.gate(df)).collect()} == {"1", "2", "3"}
 
@@ -139,7 +139,7 @@ def test_nullable_fields(spark):
 
 def test_every_mail_gets_one_status(emails):
     gated = extract.gate(emails)
-    routed = route.route(gated, extract.extract_transactions(emails))
+    routed = route.route(gated)
     assert routed.count() == gated.count() == routed.select("message_id").distinct().count()
     counts = {r.status: r["count"] for r in routed.groupBy("status").count().collect()}
     assert set(counts) == {"proper", "improper"}

@@ -9,8 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import lru_cache
 
-from pyspark import SparkContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.functions.dates import (
@@ -27,14 +26,12 @@ from tillroll.plans.rule import TEXT_FIELDS, Rule, Source, all_rules, providers
 from tillroll.schemas import TRANSACTIONS
 
 
-def _gateway() -> int:
-    """Columns live in one JVM: part of the key under which compiled rules are kept."""
-    return id(SparkContext._gateway)
-
-
 @lru_cache(maxsize=32)
-def _claims(rules: tuple[Rule, ...], gateway: int) -> Column:
-    """Names of the providers with a rule for this title and sender, computed once per mail."""
+def _claims(rules: tuple[Rule, ...], session: SparkSession) -> Column:
+    """Names of the providers with a rule for this title and sender, computed once per mail.
+
+    Columns belong to a session, so compiled rules are kept for each.
+    """
     by_provider = providers(rules)
 
     def claims(head: Column) -> Column:
@@ -54,7 +51,7 @@ def _claims(rules: tuple[Rule, ...], gateway: int) -> Column:
 
 def match_providers(emails: DataFrame, rules: Sequence[Rule] | None = None) -> DataFrame:
     """Add ``providers``: every provider with a rule for this title and parsed sender address."""
-    return emails.withColumn("providers", _claims(tuple(rules or all_rules()), _gateway()))
+    return emails.withColumn("providers", _claims(tuple(rules or all_rules()), emails.sparkSession))
 
 
 def gate(
@@ -124,7 +121,7 @@ def parse_receipts(
     flat = [p for p, own in by_provider.items() if own[0].flat]
     celled = [p for p, own in by_provider.items() if any(r.cells for r in own)]
 
-    claims = F.col("providers") if "providers" in emails.columns else _claims(rules, _gateway())
+    claims = F.col("providers") if "providers" in emails.columns else _claims(rules, emails.sparkSession)
     slot = bind(
         claims,
         lambda names: F.transform(
@@ -157,13 +154,13 @@ def parse_receipts(
 
     # A generator with a computed input is evaluated once per row, and no later filter is pushed
     # below it; a plain column would be computed again in the filter of every caller.
-    found = F.explode(_found(rules, outer, _gateway()))
+    found = F.explode(_found(rules, outer, emails.sparkSession))
     read = slots.select("message_id", "provider", "n_providers", *keep, found.alias("_f"))
     return _parsed(read, rules, keep)
 
 
 @lru_cache(maxsize=32)
-def _found(rules: tuple[Rule, ...], outer: bool, gateway: int) -> Column:
+def _found(rules: tuple[Rule, ...], outer: bool, session: SparkSession) -> Column:
     """Array with the rule id and field texts of one mail, empty when no rule fits it.
 
     The CASE over all rules sits inside a lambda on purpose: as a plain column it would outgrow the
@@ -171,91 +168,145 @@ def _found(rules: tuple[Rule, ...], outer: bool, gateway: int) -> Column:
     back. The work is in the regex engine, which runs the same either way.
     """
 
-    def read(mail: Column) -> Column:
-        source = Source(mail["_text"], mail["_cells"])
-        branches = []
-        for name, own in providers(rules).items():
-            fits = [(r.when(source) if r.when else F.lit(True), _texts(r, source)) for r in own]
-            branches.append((mail["provider"] == name, _case(fits)))
-        return _case(branches)
-
-    found = F.transform(F.array(F.struct("provider", "_text", "_cells")), read)
+    found = F.transform(F.array(F.struct("provider", "_text", "_cells")), lambda mail: _read(mail, rules))
     return found if outer else F.filter(found, lambda f: f.isNotNull())
 
 
+def _read(mail: Column, rules: Sequence[Rule]) -> Column:
+    """Field texts of the first layout of ``mail["provider"]`` that fits; NULL when none does."""
+    source = Source(mail["_text"], mail["_cells"])
+    branches = []
+    for name, own in providers(rules).items():
+        fits = [(r.when(source) if r.when else F.lit(True), _texts(r, source)) for r in own]
+        branches.append((mail["provider"] == name, _case(fits)))
+    return _case(branches)
+
+
 def _texts(r: Rule, source: Source) -> Column:
     return F.struct(F.lit(_rule_id(r)).alias("rule"), *r.field_texts(source))
 
 
+Names = Callable[[str], Column]
+
+
+def _among(rule: Column, rules: Sequence[Rule], test: Callable[[Rule], bool]) -> Column:
+    ids = [_rule_id(r) for r in rules if test(r)]
+    return rule.isin(*ids) if ids else F.lit(False)
+
+
+def _stripped(f: Column) -> list[Column]:
+    """Field texts without blanks, the date without weekday and zone."""
+    date = strip_zone(strip_weekday(f["date"])).alias("_date")
+    return [f["rule"].alias("_rule"), date, *(strip(f[n]).alias(f"_{n}") for n in TEXT_FIELDS if n != "date")]
+
+
+def _typed(m: Column, rules: Sequence[Rule]) -> Column:
+    rule = m["_rule"]
+    dates = _styled(rule, rules, lambda r: r.dates, lambda fmts: parse_ts(m["_date"], *fmts))
+    amount = _styled(rule, rules, lambda r: (r.money, r.whole), lambda style: parse_money(m["_amount"], style[0], whole=style[1]))
+    fees = _styled(rule, rules, lambda r: r.fee_money or r.money, lambda style: parse_money(m["_fees"], style))
+    return F.struct(dates.alias("date"), amount.alias("amount"), fees.alias("fees"))
+
+
+def _settled(m: Names, name: str, rules: Sequence[Rule]) -> Column:
+    """A text; '' is NULL unless the rule lets it be blank."""
+    c = m(f"_{name}")
+    return F.when((c == "") & ~_among(m("_rule"), rules, lambda r: name in r.blank), None).otherwise(c)
+
+
+_SETTLED = ("trx_id", "merchant", "currency", "payment_method", "description")
+
+
+def _fields(text: Names, value: Column, rule: Column, rules: Sequence[Rule]) -> list[Column]:
+    """The columns of a transaction but message and provider, from settled texts and typed values."""
+    known = rule.isNotNull()
+    values = {
+        "variant": F.split_part(rule, F.lit("."), F.lit(2)),
+        "trx_id": F.when(_among(rule, rules, lambda r: r.minute_id), timestamp_id(value["date"])).otherwise(text("trx_id")),
+        "date": value["date"],
+        "merchant": text("merchant"),
+        "amount": value["amount"],
+        "fees": F.when(known, F.coalesce(value["fees"], F.lit(0).cast("decimal(18,2)"))),
+        "currency": F.when(_among(rule, rules, lambda r: r.raw_currency), text("currency")).otherwise(currency_code(text("currency"))),
+        "payment_method": text("payment_method"),
+        "is_incoming": F.when(known, _among(rule, rules, lambda r: r.incoming)),
+        "description": text("description"),
+    }
+    return [c.alias(name) for name, c in values.items()]
+
+
 def _parsed(read: DataFrame, rules: Sequence[Rule], keep: Sequence[str]) -> DataFrame:
     """Field texts to typed values. Each projection reads only short texts of the one before."""
-    f = F.col("_f")
-    rule = F.col("_rule")
-    kept = ("message_id", "provider", "n_providers", *keep, "_rule")
-
-    def among(test: Callable[[Rule], bool]) -> Column:
-        ids = [_rule_id(r) for r in rules if test(r)]
-        return rule.isin(*ids) if ids else F.lit(False)
-
-    def settled(name: str) -> Column:
-        c = F.col(f"_{name}")
-        return F.when((c == "") & ~among(lambda r: name in r.blank), None).otherwise(c)
-
-    stripped = read.select(
-        *kept[:-1],
-        f["rule"].alias("_rule"),
-        strip_zone(strip_weekday(f["date"])).alias("_date"),
-        *(strip(f[name]).alias(f"_{name}") for name in TEXT_FIELDS if name != "date"),
-    )
+    rest = ("message_id", "provider", "n_providers", *keep)
+    stripped = read.select(*rest, *_stripped(F.col("_f")))
     dated = stripped.withColumn("_date", F.trim(english_month(F.col("_date"))))
+    # behind a generator too: filters and sums of a caller then read the values instead of parsing again
+    typed_once = F.explode(F.transform(F.array(F.struct("_rule", "_date", "_amount", "_fees")), lambda m: _typed(m, rules)))
+    texts = [_settled(F.col, name, rules).alias(f"_t_{name}") for name in _SETTLED]
+    values = dated.select(*rest, "_rule", *texts, typed_once.alias("_v"))
+    fields = _fields(lambda name: F.col(f"_t_{name}"), F.col("_v"), F.col("_rule"), rules)
+    return values.select("message_id", "provider", *fields, "n_providers", *keep)
 
-    def typed(m: Column) -> Column:
-        return F.struct(
-            _styled(m["_rule"], rules, lambda r: r.dates, lambda fmts: parse_ts(m["_date"], *fmts)).alias("date"),
-            _styled(
-                m["_rule"],
-                rules,
-                lambda r: (r.money, r.whole),
-                lambda style: parse_money(m["_amount"], style[0], whole=style[1]),
-            ).alias("amount"),
-            _styled(
-                m["_rule"], rules, lambda r: r.fee_money or r.money, lambda style: parse_money(m["_fees"], style)
-            ).alias("fees"),
-        )
 
-    # behind a generator too: filters and sums of a caller then read the values instead of parsing again
-    typed_once = F.explode(F.transform(F.array(F.struct("_rule", "_date", "_amount", "_fees")), typed))
-    values = dated.select(
-        *kept,
-        settled("trx_id").alias("_trx_id"),
-        settled("merchant").alias("merchant"),
-        settled("currency").alias("_currency"),
-        settled("payment_method").alias("payment_method"),
-        settled("description").alias("description"),
-        typed_once.alias("_v"),
-    ).withColumns({"date": F.col("_v")["date"], "amount": F.col("_v")["amount"], "_fees": F.col("_v")["fees"]})
-    known = rule.isNotNull()
-    return values.select(
-        "message_id",
-        "provider",
-        F.split_part(rule, F.lit("."), F.lit(2)).alias("variant"),
-        F.when(among(lambda r: r.minute_id), timestamp_id(F.col("date")))
-        .otherwise(F.col("_trx_id"))
-        .alias("trx_id"),
-        "date",
-        "merchant",
-        "amount",
-        F.when(known, F.coalesce("_fees", F.lit(0).cast("decimal(18,2)"))).alias("fees"),
-        F.when(among(lambda r: r.raw_currency), F.col("_currency"))
-        .otherwise(currency_code(F.col("_currency")))
-        .alias("currency"),
-        "payment_method",
-        F.when(known, among(lambda r: r.incoming)).alias("is_incoming"),
-        "description",
-        "n_providers",
-        *keep,
+def read_claims(emails: DataFrame, rules: Sequence[Rule] | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """One row per mail: ``(message_id, *keep, _claims)``, all that its claiming providers read in one array.
+
+    An element is a transaction (``variant`` is NULL where no layout of that provider fits) with the texts that its
+    ``date`` and ``amount`` were read from. Nothing is taken apart into rows, so nothing needs to be put together again;
+    a body is turned to text once, however many providers claim the mail.
+    """
+    rules = tuple(rules or all_rules())
+    by_provider = providers(rules)
+    flat = [p for p, own in by_provider.items() if own[0].flat]
+    celled = [p for p, own in by_provider.items() if any(r.cells for r in own)]
+    claims = F.col("providers") if "providers" in emails.columns else _claims(rules, emails.sparkSession)
+    some = lambda names: F.arrays_overlap("_claims", F.array(*map(F.lit, names))) if names else F.lit(False)
+
+    # kept columns may have any name
+    inner = {c: f"_keep_{n}" for n, c in enumerate(keep)}
+    own = ("message_id", *inner.values())
+    heads = emails.select("message_id", "body_html", "body_text", *(F.col(c).alias(n) for c, n in inner.items()), claims.alias("_claims"))
+    plain = F.replace(F.col("body_text"), F.lit("\u00a0"), F.lit(" "))
+    text = F.when(F.size("_claims") > 0, F.coalesce(html_to_text(F.col("body_html")), plain))
+    bodies = heads.select(*own, "_claims", F.when(some(celled), F.col("body_html")).alias("_html"), text.alias("_raw"))
+    both = bodies.select(
+        *own,
+        "_claims",
+        "_raw",
+        F.when(some(flat), collapse_ws(F.col("_raw"))).alias("_flat"),
+        F.when(F.col("_html").isNotNull(), html_cells("_html")).alias("_cells"),
     )
 
+    def slot(p: Column) -> Column:
+        body = F.when(p.isin(*flat), F.col("_flat")).otherwise(F.col("_raw"))
+        return F.struct(p.alias("provider"), body.alias("_text"), F.when(p.isin(*celled), F.col("_cells")).alias("_cells"))
+
+    # one element each: generators keep what they made from being computed again, see parse_receipts
+    found = bind(F.transform("_claims", slot), lambda slots: F.transform(slots, lambda s: F.struct(s["provider"].alias("provider"), _read(s, rules).alias("f"))))
+    read = both.select(*own, F.explode(F.array(found)).alias("_found"))
+    typed = F.transform("_found", lambda x: _claim(x, rules))
+    made = read.select(*own, F.explode(F.array(typed)).alias("_made"))
+    return made.select("message_id", *(F.col(n).alias(c) for c, n in inner.items()), F.col("_made").alias("_claims"))
+
+
+def _claim(x: Column, rules: Sequence[Rule]) -> Column:
+    """What one provider reads, as a struct; as :func:`_parsed` makes it over columns."""
+
+    def settle(m: Column) -> Column:
+        texts = [_settled(lambda n: m[n], name, rules).alias(name) for name in _SETTLED]
+        return F.struct(m["_rule"].alias("rule"), _typed(m, rules).alias("v"), m["_date"].alias("date_text"), m["_amount"].alias("amount_text"), *texts)
+
+    def finish(m: Column) -> Column:
+        fields = _fields(lambda name: m[name], m["v"], m["rule"], rules)
+        return F.struct(x["provider"].alias("provider"), *fields, m["date_text"], m["amount_text"])
+
+    def month(m: Column) -> Column:
+        others = [m[f"_{n}"].alias(f"_{n}") for n in TEXT_FIELDS if n != "date"]
+        return F.struct(m["_rule"].alias("_rule"), F.trim(english_month(m["_date"])).alias("_date"), *others)
+
+    stripped = bind(F.struct(*_stripped(x["f"])), month)
+    return bind(bind(stripped, settle), finish)
+
 
 def extract_transactions(emails: DataFrame, rules: Sequence[Rule] | None = None) -> DataFrame:
     """Claimed mails to transaction rows, complete or not (see ``is_proper``)."""

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.text import to_ascii
-from tillroll.operators.extract import parse_receipts
-from tillroll.plans.rule import MANDATORY, Rule, all_rules
+from tillroll.operators.outcome import complete, outcomes
+from tillroll.plans.rule import Rule, all_rules
 
 # The report's columns in order.
 REPORT_COLUMNS = (
@@ -29,65 +29,26 @@ REPORT_COLUMNS = (
 PLACEHOLDER_IDS = ("", "-", "None")
 
 
-def _complete(rules: Sequence[Rule]) -> Column:
-    rule = F.concat_ws(".", "provider", "variant")
-    out = F.col("variant").isNotNull()
-    for name in MANDATORY:
-        lenient = [f"{r.provider}.{r.variant}" for r in rules if name in r.nullable]
-        here = F.col(name).isNotNull()
-        out = out & ((here | rule.isin(*lenient)) if lenient else here)
-    return out
-
-
 def is_proper(tx: DataFrame, rules: Sequence[Rule] | None = None) -> DataFrame:
     """Add ``proper``: every mandatory field is there, save those the rule lets be missing."""
-    return tx.withColumn("proper", _complete(rules or all_rules()))
+    return tx.withColumn("proper", complete(F.col, rules or all_rules()))
 
 
-def route(emails: DataFrame, tx: DataFrame, rules: Sequence[Rule] | None = None) -> DataFrame:
-    """One row per mail: ``(message_id, from_domain, status, n_rows, n_proper)``.
+def route(emails: DataFrame, rules: Sequence[Rule] | None = None) -> DataFrame:
+    """One row per gated mail: ``(message_id, from_domain, status, n_rows, n_proper)``, see ``outcomes``.
 
-    ``emails`` are the gated mails and ``tx`` their rows. Only ids and flags are shuffled; the message
-    id is unique among mails, so no group is large.
+    Each mail is decided where it is read: no shuffle and no second scan.
     """
-    found = (
-        is_proper(tx, rules)
-        .groupBy("message_id")
-        .agg(F.count("*").alias("n_rows"), F.count_if("proper").alias("n_proper"))
-    )
-    rows, proper = F.coalesce("n_rows", F.lit(0)), F.coalesce("n_proper", F.lit(0))
-    return (
-        emails.select("message_id", "from_domain")
-        .join(found, "message_id", "left")
-        .select(
-            "message_id",
-            "from_domain",
-            F.when(proper > 0, "proper").when(rows > 0, "improper").otherwise("unparsed").alias("status"),
-            rows.alias("n_rows"),
-            proper.alias("n_proper"),
-        )
-    )
+    return outcomes(emails, rules).select("message_id", "from_domain", "status", "n_rows", "n_proper")
 
 
 def unparsed(
     gated: DataFrame, rules: Sequence[Rule] | None = None, keep: Sequence[str] = ("body_html",)
 ) -> DataFrame:
-    """Gated mails without a single proper row, with the columns needed to look at them later.
-
-    A mail claimed by one provider, or by none, is decided where it is read. Only mails claimed by
-    several are grouped, so bodies are not shuffled for the common case.
-    """
+    """Gated mails without a single proper row, with the columns needed to look at them later."""
     carried = [c for c in ("from_domain", *keep) if c != "message_id"]
-    slots = is_proper(parse_receipts(gated, rules, keep=carried), rules)
-    alone = slots.where((F.col("n_providers") <= 1) & ~F.col("proper")).select("message_id", *carried)
-    shared = (
-        slots.where(F.col("n_providers") > 1)
-        .groupBy("message_id")
-        .agg(F.max("proper").alias("_any"), F.first(F.struct(*carried)).alias("_mail"))
-        .where(~F.col("_any"))
-        .select("message_id", "_mail.*")
-    )
-    return alone.unionByName(shared)
+    lost = outcomes(gated, rules, carried).where(F.col("n_proper") == 0)
+    return lost.select("message_id", *dict.fromkeys(carried))
 
 
 def dedup_transactions(

@@ -36,6 +36,9 @@ TRANSACTIONS = _schema(
     description=S,
 )
 
+# Why a mail, or a row of it, could not be used.
+FAULT = _schema(stage=S, error=S, detail=S)
+
 TITLES = _schema(title=S, is_transaction=B)
 
 LABELLED_TX = _schema(

@@ -7,44 +7,83 @@ never travel back from Python.
 
 from __future__ import annotations
 
-import email
-import email.policy
-import sys
 from collections.abc import Sequence
+from functools import lru_cache
 
 import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.functions.text import bind, extract_domain, parse_addr
 from tillroll.operators.extract import match_providers
+from tillroll.operators.outcome import fault
 from tillroll.plans.rule import Rule
-from tillroll.schemas import BINARY_FILES, EMAILS
+from tillroll.schemas import BINARY_FILES, EMAILS, FAULT
 
-# The functions below travel with the task, so executors need no copy of this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-_HEAD = T.StructType([EMAILS["subject"], EMAILS["from_header"]])
-_BODY = T.StructType([EMAILS["body_html"], EMAILS["body_text"]])
+_FAULTS = [FAULT["error"], FAULT["detail"]]
+_HEAD = T.StructType([EMAILS["subject"], EMAILS["from_header"], *_FAULTS])
+_BODY = T.StructType([EMAILS["body_html"], EMAILS["body_text"], *_FAULTS])
 _NO_SUBJECT = "Unknown Subject"
 _NO_SENDER = "Unknown Sender <unknown@unknown.com>"
 
+# The functions that run on the executors are made inside others: those travel with the task, so executors need no copy
+# of this package.
+
+
+@lru_cache(maxsize=1)
+def _heads():
+    no_subject, no_sender = _NO_SUBJECT, _NO_SENDER
 
-def _read_head(raw: bytes | None) -> tuple[str, str]:
-    try:
-        head = raw or b""
-        m = email.message_from_bytes(head)
-        found = [m.get("subject"), m.get("from")]
-        if any(not isinstance(v, str) or not v.isascii() or "=?" in v for v in found if v is not None):
-            # encoded words: the full header parser, some ten times slower
-            m = email.message_from_bytes(head, policy=email.policy.default)
+    def read(raw: bytes | None) -> tuple[str, str, str | None, str | None]:
+        import email
+        import email.policy
+
+        if not raw:
+            return no_subject, no_sender, "EmptyMessage", None
+        try:
+            m = email.message_from_bytes(raw)
+            if not m.keys():
+                return no_subject, no_sender, "NoHeaders", None
             found = [m.get("subject"), m.get("from")]
-        subject, sender = ("".join(str(v).splitlines()) if v is not None else None for v in found)
-        return (_NO_SUBJECT if subject is None else subject, _NO_SENDER if sender is None else sender)
-    except Exception:  # a broken message must not stop the others
-        return _NO_SUBJECT, _NO_SENDER
+            if any(not isinstance(v, str) or not v.isascii() or "=?" in v for v in found if v is not None):
+                # encoded words: the full header parser, some ten times slower
+                m = email.message_from_bytes(raw, policy=email.policy.default)
+                found = [m.get("subject"), m.get("from")]
+            subject, sender = ("".join(str(v).splitlines()) if v is not None else None for v in found)
+            return no_subject if subject is None else subject, no_sender if sender is None else sender, None, None
+        except Exception as e:  # a broken message must not stop the others
+            return no_subject, no_sender, type(e).__name__, str(e)
+
+    def heads(content):
+        return pd.DataFrame([read(c) for c in content], columns=["subject", "from_header", "error", "detail"])
+
+    heads.__annotations__ = {"content": pd.Series, "return": pd.DataFrame}
+    # nondeterministic, so that the filter on the result does not run the function twice
+    return F.pandas_udf(heads, _HEAD).asNondeterministic()
+
+
+@lru_cache(maxsize=1)
+def _bodies():
+    def read(raw: bytes | None) -> tuple[str | None, str | None, str | None, str | None]:
+        import email
+        import email.policy
+
+        try:
+            m = email.message_from_bytes(raw or b"", policy=email.policy.default)
+            part = m.get_body()
+            if part is None:
+                return None, None, "NoBody", m.get_content_type()
+            content = str(part.get_content())
+            return (content, None, None, None) if part.get_content_subtype() == "html" else (None, content, None, None)
+        except Exception as e:
+            return None, None, type(e).__name__, str(e)
+
+    def bodies(content):
+        return pd.DataFrame([read(c) for c in content], columns=["body_html", "body_text", "error", "detail"])
+
+    bodies.__annotations__ = {"content": pd.Series, "return": pd.DataFrame}
+    return F.pandas_udf(bodies, _BODY)
 
 
 def header_block(content: Column) -> Column:
@@ -58,28 +97,6 @@ def header_block(content: Column) -> Column:
     return F.substring(content, F.lit(1), bind(F.decode(content, "ISO-8859-1"), end))
 
 
-def _read_body(raw: bytes | None) -> tuple[str | None, str | None]:
-    try:
-        m = email.message_from_bytes(raw or b"", policy=email.policy.default)
-        part = m.get_body()
-        if part is None:
-            return None, None
-        content = str(part.get_content())
-        return (content, None) if part.get_content_subtype() == "html" else (None, content)
-    except Exception:
-        return None, None
-
-
-@F.pandas_udf(_HEAD)
-def _heads(content: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([_read_head(c) for c in content], columns=["subject", "from_header"])
-
-
-@F.pandas_udf(_BODY)
-def _bodies(content: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([_read_body(c) for c in content], columns=["body_html", "body_text"])
-
-
 def decode_raw(c: Column) -> Column:
     """URL-safe base64, as mail services hand messages out, to bytes."""
     missing = F.pmod(-F.length(c), F.lit(4)).cast("int")
@@ -95,11 +112,15 @@ def parse_messages(
     claimed_only: bool = False,
     rules: Sequence[Rule] | None = None,
     keep: Sequence[str] = (),
+    faults: bool = False,
 ) -> DataFrame:
-    """Raw messages to the EMAILS columns; ``claimed_only`` drops mails no rule is for unparsed."""
-    # Marked nondeterministic so that the filter on the result does not run the function twice.
-    head = _heads.asNondeterministic()(header_block(F.col(content)))
-    headed = raw.select(F.col(id).alias("message_id"), content, *keep, head.alias("_h")).select(
+    """Raw messages to the EMAILS columns; ``claimed_only`` drops mails no rule is for unparsed.
+
+    With ``faults`` a column ``fault`` says why a message could not be read: its stage (``headers`` or ``body``), the
+    error (``EmptyMessage``, ``NoHeaders``, ``NoBody`` or the class of an exception) and its detail. Messages with a
+    fault in their headers then stay, as no rule could be asked about them. Without it they are mails without a body.
+    """
+    headed = raw.select(F.col(id).alias("message_id"), content, *keep, _heads()(header_block(F.col(content))).alias("_h")).select(
         "message_id",
         content,
         *keep,
@@ -107,10 +128,13 @@ def parse_messages(
         F.col("_h.from_header").alias("from_header"),
         parse_addr(F.col("_h.from_header")).alias("from_addr"),
         extract_domain(F.col("_h.from_header")).alias("from_domain"),
+        F.when(F.col("_h.error").isNotNull(), fault("headers", F.col("_h.error"), F.col("_h.detail"))).alias("_f"),
     )
     if claimed_only:
-        headed = match_providers(headed, rules).where(F.size("providers") > 0).drop("providers")
-    return headed.withColumn("_b", _bodies(F.col(content))).select(
+        wanted = F.size("providers") > 0
+        headed = match_providers(headed, rules).where(wanted | F.col("_f").isNotNull() if faults else wanted).drop("providers")
+    of_body = F.when(F.col("_b.error").isNotNull(), fault("body", F.col("_b.error"), F.col("_b.detail")))
+    return headed.withColumn("_b", _bodies()(F.col(content))).select(
         "message_id",
         "subject",
         "from_header",
@@ -119,6 +143,7 @@ def parse_messages(
         F.col("_b.body_html").alias("body_html"),
         F.col("_b.body_text").alias("body_text"),
         *keep,
+        *([F.coalesce("_f", of_body).alias("fault")] if faults else []),
     )
 
 
@@ -128,7 +153,7 @@ def _from_files(files: DataFrame, **options) -> DataFrame:
 
 
 def scan_eml(
-    spark: SparkSession, path: str, claimed_only: bool = False, rules: Sequence[Rule] | None = None
+    spark: SparkSession, path: str, claimed_only: bool = False, rules: Sequence[Rule] | None = None, faults: bool = False
 ) -> DataFrame:
     """All ``.eml`` files under a folder, or one file. The message id is the file name."""
     files = (
@@ -138,7 +163,7 @@ def scan_eml(
         .load(path)
         .select("path", "content")
     )
-    return _from_files(files, claimed_only=claimed_only, rules=rules)
+    return _from_files(files, claimed_only=claimed_only, rules=rules, faults=faults)
 
 
 def stream_eml(spark: SparkSession, path: str, files_per_trigger: int = 500) -> DataFrame:

@@ -84,3 +84,13 @@ def write_unparsed(df: DataFrame, path: str) -> None:
         .partitionBy("from_domain")
         .parquet(path)
     )
+
+
+def write_quarantine(df: DataFrame, path: str, append: bool = False) -> None:
+    """Mails with the reason why they were not used (``outcome.quarantine``), by stage: the queue to look through."""
+    writer = df.hint("rebalance", "stage").write.mode("append" if append else "overwrite")
+    writer.option("maxRecordsPerFile", 1_000_000).partitionBy("stage").parquet(path)
+
+
+def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
