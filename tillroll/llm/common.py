@@ -52,9 +52,19 @@ def cut(df: DataFrame, eager: bool = True) -> DataFrame:
 
 def stored(df: DataFrame) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: the cut for what is large, compressed and read by column."""
+    return kept(df)[0]
+
+
+def kept(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` as a Parquet table in the shared folder, and its path, for :func:`emptied`."""
     path = f"{work_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def emptied(df: DataFrame, path: str) -> None:
+    """Give back the disk of a table of :func:`kept` that nothing reads any more."""
+    df.sparkSession.createDataFrame([], df.schema).write.mode("overwrite").parquet(path)
 
 
 def work_folder(spark: SparkSession) -> str:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import cut, mix, ship, slices, stored
+from tillroll.llm.common import cut, emptied, kept, mix, ship, slices, stored
 from tillroll.llm.components import components
 
 #: One in so many documents shows which shingles are common: those that ``COMMON`` of them hold.
@@ -41,6 +41,8 @@ _FILL = {False: 1.0, True: 2.0}
 _SMALL, _LARGE = 64, 256
 #: Least and most bits of the cells that a set is counted by.
 _CELL_BITS = 6, 16
+#: Numbers of 64 bits in a sketch.
+_SKETCH = 16
 _BLOCK = 1 << 20
 
 _WHITE = np.zeros(256, dtype=bool)
@@ -216,7 +218,7 @@ def _collisions(docs: DataFrame, width: int, percent: int) -> DataFrame:
                 sizes = np.array([len(s) for s in sets], dtype=np.int32)
                 ids = part.column("doc_id")
                 spread = mix(np.arange(len(nodes), dtype=np.uint64) + nodes.view(np.uint64)).view(np.int64)
-                yield _signed(spread, nodes, -1 - sizes, ids, pa.array([_cells(s) for s in sets], pa.binary()), part.column("digest"))
+                yield _signed(spread, nodes, -1 - sizes, ids, pa.array([_sketch(s) + _cells(s) for s in sets], pa.binary()), part.column("digest"))
                 new = []
                 for i, ok in enumerate(ids.is_valid().to_pylist()):
                     if ok and sizes[i] and nodes[i] not in seen:
@@ -263,9 +265,21 @@ def _cells(s: np.ndarray) -> bytes:
     return np.minimum(np.bincount(cell, minlength=1 << bits), 255).astype(np.uint8).tobytes()
 
 
+def _sketch(s: np.ndarray) -> bytes:
+    """Whether each of 1024 parts of the domain holds an odd number of members. Where two sets are not the same there,
+    one of them at least has a member that the other lacks."""
+    odd = np.bincount((mix(s ^ _STEP) >> np.uint64(54)).astype(np.int64), minlength=64 * _SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def _sketched(cells: str) -> list[Column]:
+    """The sketch that stands before the cells, as numbers of 64 bits."""
+    return [F.conv(F.hex(F.substring(cells, 8 * i + 1, 8)), 16, -10).cast("long").alias(f"s{i}") for i in range(_SKETCH)]
+
+
 def _apart(a: bytes, b: bytes) -> int:
     """A lower bound of how many members of two sets are in one of them only."""
-    x, y = (np.frombuffer(c, dtype=np.uint8).astype(np.int32) for c in (a, b))
+    x, y = (np.frombuffer(c, dtype=np.uint8, offset=8 * _SKETCH).astype(np.int32) for c in (a, b))
     while len(x) > len(y):
         x = x[::2] + x[1::2]
     while len(y) > len(x):
@@ -337,29 +351,39 @@ def _given(kind, a, b=None, size=None, c=None, cells=None) -> pa.RecordBatch:
 
 
 #: Members of a group, apart from its largest component and in all, that are held against each other in one place.
-_LEFT, _RIGHT = 256, 1024
+_LEFT, _RIGHT = 4096, 8192
 
 
-def _across(members: DataFrame, known: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``(a, b)`` of nodes that share a group and no component, as far as their sizes allow.
+def _across(members: DataFrame, known: DataFrame, cells: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``(a, b)`` of nodes that share a group and no component, as far as sizes and sketches allow.
 
-    ``members`` are the ``MEMBER`` rows ``(g, node, size, shard)``. Large groups are dealt in blocks of pairs.
+    ``members`` are the ``MEMBER`` rows ``(g, node, size, shard)``. Large groups are dealt in blocks. Sketches bound the
+    difference from below before there is a pair: a group of texts that have a passage in common and little else gives
+    no pairs, however large it is.
     """
-    placed = members.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    info = cells.select("node", *_sketched("cells")).join(known, "node", "left")
+    placed = members.join(info, "node").withColumn("component", F.coalesce("component", "node"))
     sizes = placed.groupBy("g", "shard", "component").count()
     shards = sizes.select("g", "shard").distinct()
     sizes = sizes.groupBy("g", "component").agg(F.sum("count").alias("count"))
     main = sizes.groupBy("g").agg(F.max(F.struct("count", "component")).alias("top"), F.count("*").alias("n"), F.sum("count").alias("all")).where("n > 1")
     main = main.select("g", F.col("top.component").alias("main"), F.ceil((F.col("all") - F.col("top.count")) / _LEFT).alias("rows"), F.ceil(F.col("all") / _RIGHT).alias("columns"))
-    apart = stored(placed.join(cut(main.join(shards, "g")), ["g", "shard"]))
+    apart, path = kept(placed.join(cut(main.join(shards, "g")), ["g", "shard"]))
     deal = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    left = apart.where("component <> main").select("g", F.col("node").alias("a"), F.col("size").alias("n"), F.col("component").alias("x"), deal("rows").alias("i"), every("columns").alias("j"))
-    right = apart.select("g", F.col("node").alias("b"), F.col("size").alias("m"), F.col("component").alias("y"), "main", every("rows").alias("i"), deal("columns").alias("j"))
+    bits = range(_SKETCH)
+    left = apart.where("component <> main").select("g", F.col("node").alias("a"), F.col("size").alias("n"), F.col("component").alias("x"), *(F.col(f"s{i}").alias(f"p{i}") for i in bits), deal("rows").alias("i"), every("columns").alias("j"))
+    right = apart.select("g", F.col("node").alias("b"), F.col("size").alias("m"), F.col("component").alias("y"), "main", *(F.col(f"s{i}").alias(f"q{i}") for i in bits), every("rows").alias("i"), deal("columns").alias("j"))
     fits = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
+    differ = sum((F.bit_count(F.col(f"p{i}").bitwiseXOR(F.col(f"q{i}"))) for i in bits), F.lit(0))
+    close = differ * (100 + percent) <= (F.col("n") + F.col("m")) * (100 - percent)
     once = (F.col("a") < F.col("b")) | (F.col("y") == F.col("main"))
-    pairs = left.join(right, ["g", "i", "j"]).where((F.col("x") != F.col("y")) & fits & once)
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    left, right = left.alias("l"), right.alias("r")
+    same = (F.col("l.g") == F.col("r.g")) & (F.col("l.i") == F.col("r.i")) & (F.col("l.j") == F.col("r.j"))
+    pairs = left.join(right, same & (F.col("x") != F.col("y")) & once & fits & close)
+    found = cut(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    emptied(apart, path)
+    return found
 
 
 #: Documents of candidate pairs whose ids (16 bytes each) are broadcast to find their texts.
@@ -412,11 +436,13 @@ def _linked(docs: DataFrame, pairs: DataFrame, names: DataFrame, cells: DataFram
 
     one, two = (cells.select(F.col("node").alias(x), F.col("size").alias(f"n_{x}"), F.col("cells").alias(f"c_{x}")) for x in "ab")
     close = cut(pairs.join(one, "a").join(two, "b").mapInArrow(near, "a long, b long"))
-    sets = stored(_members(docs, close, names, width))
+    sets, path = kept(_members(docs, close, names, width))
     one, two = (sets.select(F.col("node").alias(x), F.col("members").alias(f"m_{x}")) for x in "ab")
     shared = F.size(F.array_intersect("m_a", "m_b"))
     union = F.size("m_a") + F.size("m_b") - shared
-    return cut(close.join(one, "a").join(two, "b").where(shared * 100 >= union * percent).select("a", "b"))
+    found = cut(close.join(one, "a").join(two, "b").where(shared * 100 >= union * percent).select("a", "b"))
+    emptied(sets, path)
+    return found
 
 
 def _digest() -> Column:
@@ -439,7 +465,7 @@ def _links(df: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFram
     # across what is still apart in a group of three or more, shards of a signature together
     known = cut(components(links))
     members = rows.where(F.col("kind") == MEMBER).select(F.col("a").alias("g"), F.col("b").alias("node"), "size", F.coalesce("c", F.lit(0)).alias("shard"))
-    pairs = _across(members, known, percent).join(stars, ["a", "b"], "left_anti")
+    pairs = _across(members, known, cells, percent).join(stars, ["a", "b"], "left_anti")
     more = _linked(docs, pairs, names, cells, width, percent)
 
     return every, names, links.union(more)
