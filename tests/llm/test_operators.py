@@ -378,7 +378,7 @@ def test_top_k(spark, sf):
 
 def test_language(spark, docs):
     held = langid.held_out(F.col("doc_id"))
-    model = langid.learn(docs.where(~held))
+    model = langid.learn(docs.where(~held), 9)
     assert model.labels == ["de", "en", "es", "fr"]
     rows = langid.identify(docs.withColumn("score", F.lit("clash")), model).where(held).collect()
     assert sum(r.lang == r.lang_pred for r in rows) >= 0.95 * len(rows)
@@ -387,13 +387,13 @@ def test_language(spark, docs):
     got = {r.doc_id: r.lang_pred for r in langid.identify(odd, model).collect()}
     assert got[1] == got[2] == got[3] == "und" and got[4] in model.labels
     assert {r.doc_id for r in langid.keep_languages(odd, model).collect()} == {4}
-    empty = langid.learn(docs.limit(0))
+    empty = langid.learn(docs.limit(0), 9)
     assert empty.labels == [] and {r.lang_pred for r in langid.identify(odd, empty).collect()} == {"und"}
 
 
 def test_mixture_is_found(docs):
     by = {r.lang: r.text for r in docs.where("length(text) > 4000").dropDuplicates(["lang"]).collect()}
-    model = langid.learn(docs)
+    model = langid.learn(docs, 9)
     half = (by["de"][:2000] + " " + by["fr"][:2000]).encode()
     share = dict(zip([*model.labels, "other"], langid.proportions(langid.counts([half]), model)[0]))
     assert 0.35 < share["de"] < 0.65 and 0.35 < share["fr"] < 0.65 and share["es"] < 0.02

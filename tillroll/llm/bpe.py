@@ -262,7 +262,12 @@ def _lists(a: pa.Array) -> Iterator[np.ndarray | None]:
 
 def round_trip(df: DataFrame, path: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Encode and decode in one pass, returning digests of both: ``n_tokens``, ``ids_sha256`` (ids as
-    little-endian unsigned 32-bit integers), ``decoded_sha256`` (UTF-8 of the decoded text)."""
+    little-endian unsigned 32-bit integers), ``decoded_sha256`` (UTF-8 of the decoded text).
+
+    Null counts as empty: no ids, digests of nothing. A very long text is a batch of its own; a repeated row gives its
+    row again; an empty table has no rows. ``keep`` are the columns to return (default: all); columns named as new ones
+    are replaced.
+    """
     ship(df.sparkSession)
     new = ("n_tokens", "ids_sha256", "decoded_sha256")
     kept = [c for c in (keep if keep is not None else df.columns) if c not in new]

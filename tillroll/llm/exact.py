@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import cut
+from tillroll.operators.lookup import lookup
 
 #: Characters that the second step looks at.
 PREFIX = 64
@@ -20,8 +21,10 @@ PREFIX = 64
 def _groups(rows: DataFrame, carried: list[str]) -> tuple[DataFrame, DataFrame]:
     """Rows that the first two steps show to be alone, and the rest: distinct ``(id, whole)`` with ``times`` that
     it occurs, the ``keep_id`` and the ``group_size``."""
-    sizes = cut(rows.groupBy("size").agg(F.count("*").alias("n")).where("n > 1").select("size"))
-    heads = rows.select("size", "head").join(sizes, "size", "left_semi").groupBy("size", "head").agg(F.count("*").alias("n"))
+    sizes = cut(rows.groupBy("size").agg(F.count("*").alias("n")).where("n > 1"))
+    # a length that a third of all rows has does not deal them to one task
+    alike = lookup(rows.select("size", "head"), F.col("size"), sizes, "size", {"alike": "n"}).where("alike is not null")
+    heads = alike.groupBy("size", "head").agg(F.count("*").alias("n"))
     heads = cut(heads.where("n > 1").select("size", "head"))
     alone = rows.drop("value").join(heads, ["size", "head"], "left_anti")
     left = rows.join(heads, ["size", "head"], "left_semi").withColumn("whole", F.sha2("value", 256))

@@ -10,7 +10,7 @@ One more distribution, even over all n-grams, stands for what is no language; it
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -63,11 +63,11 @@ def counts(texts: list[bytes]) -> np.ndarray:
     return out
 
 
-def learn(df: DataFrame, lang: str = "lang", text: str = "text", most: int = 512) -> Model:
+def learn(df: DataFrame, most: int, lang: str = "lang", text: str = "text") -> Model:
     """A model of all labelled rows of ``df``: those whose ``lang`` and ``text`` aren't null.
 
     Counts are made in each task and summed by language and bucket; what reaches the driver is a table of languages
-    times buckets. More than ``most`` labels are an error. Without any labelled row the model has no language.
+    times buckets, which ``most`` bounds: more labels than the caller has languages are an error. Without any labelled row the model has no language.
     """
     ship(df.sparkSession)
     rows = df.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")).where("lang is not null and text is not null")
@@ -190,7 +190,16 @@ def held_out(id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(F.coalesce(id.cast("string"), F.lit("")).cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
-def keep_languages(df: DataFrame, model: Model, text: str = "text", most_other: float = 0.9) -> DataFrame:
-    """The rows of ``df`` in some language: those with a letter of which no more than ``most_other`` is no language."""
-    marked = identify(df, model, text)
-    return marked.where((F.col("lang_pred") != UNKNOWN) & (F.col("other") <= most_other)).select(*df.columns)
+def keep_languages(df: DataFrame, model: Model, text: str = "text", most_other: float = 0.9, wanted: Sequence[str] | None = None, into: str | None = None) -> DataFrame:
+    """The rows of ``df`` in some language: those with a letter of which no more than ``most_other`` is no language.
+
+    ``wanted`` names the languages to keep (default: all that the model has); ``into`` is a column that takes the
+    prediction. Null and empty texts have no language and go, as all rows do under a model without languages; rows that
+    repeat are kept or go together; an empty table stays empty.
+    """
+    marked = identify(df.withColumnsRenamed({c: f"kept_{n}" for n, c in enumerate(df.columns)}), model, f"kept_{df.columns.index(text)}")
+    found = (F.col("lang_pred") != UNKNOWN) & (F.col("other") <= most_other)
+    if wanted is not None:
+        found = found & F.col("lang_pred").isin(*wanted)
+    columns = [F.col("lang_pred" if c == into else f"kept_{n}").alias(c) for n, c in enumerate(df.columns)]
+    return marked.where(found).select(*columns)

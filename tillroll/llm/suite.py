@@ -54,10 +54,14 @@ def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, 5, F.col("vec_id") % 50 == 0)
 
 
+#: Most languages that the labels may name.
+LANGUAGES = 4096
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held = langid.held_out(F.col("doc_id"))
-    model = langid.learn(docs.where(~held))
+    model = langid.learn(docs.where(~held), LANGUAGES)
     found = langid.identify(docs.select("doc_id", "text"), model)
     return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
 

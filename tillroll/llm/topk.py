@@ -20,7 +20,9 @@ from pyspark.sql import types as T
 from tillroll.llm.common import ship
 
 #: Rows and queries of a block, about.
-ROWS, QUERIES = 32_768, 512
+ROWS, QUERIES = 32_768, 8192
+#: Vectors with a larger component are few; their products are summed by Python's integers.
+HUGE = 1 << 24
 #: Bits that are kept of an attribute.
 KEPT_BITS = 6
 
@@ -30,7 +32,8 @@ class SlicedBlock:
 
     def __init__(self, vectors: np.ndarray, bits: int = KEPT_BITS):
         self.n, self.d = vectors.shape
-        self.exact = vectors.astype(np.float64) if np.abs(vectors, dtype=np.int64).max(initial=0) < 1 << 20 else vectors
+        # products with a query below HUGE are whole numbers that a double holds
+        self.exact = vectors.astype(np.float64) if self.d <= 512 and np.abs(vectors, dtype=np.int64).max(initial=0) < 1 << 20 else vectors
         self.low = vectors.min(axis=0, initial=0)
         range_bits = int(vectors.max(initial=0) - self.low.min(initial=0)).bit_length()
         self.shift = max(0, range_bits - bits)
@@ -128,8 +131,8 @@ class SlicedBlock:
 
 def quantise(vector: Column, scale: int = 256) -> Column:
     """Each component x of a vector as floor(scale * x), x as a double; null where the vector is null or holds a
-    null, a NaN or an infinity."""
-    sound = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
+    null, a NaN, an infinity or what has no 64-bit integer form."""
+    sound = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double") * scale) < float(1 << 63)))
     return F.when(sound, F.transform(vector, lambda x: F.floor(x.cast("double") * scale).cast("long")))
 
 
@@ -144,7 +147,8 @@ def top_k(
 
     Vectors that are null or hold null or non-finite components take no part, nor do rows without an id; vectors
     of another length than the query's aren't compared with it. Rows that repeat an id count once, with the
-    smallest of their vectors. Score and sums are exact while ``sum(|q * x|)`` is below 2^53.
+    smallest of their vectors. Components whose ``floor(scale * x)`` has no 64-bit form count as non-finite. Scores are
+    exact, also of huge components; one beyond 64 bits counts as the largest or smallest integer that has them.
     """
     spark = df.sparkSession
     ship(spark)
@@ -179,12 +183,23 @@ def _search(block: pa.Table, k: int) -> pa.Table:
         rows, queries = of(~q), of(q)
         if not len(rows[0]) or not len(queries[0]):
             continue
-        index = SlicedBlock(rows[1])
+        large = (np.abs(rows[1]) >= HUGE).any(axis=1)
+        plain, far = [x[~large] for x in rows], [x[large] for x in rows]
+        index = SlicedBlock(plain[1])
         for own, v in zip(*queries):
-            at = np.searchsorted(rows[0], own)
-            same = [at] if at < len(rows[0]) and rows[0][at] == own else None
+            if (np.abs(v) >= HUGE).any():
+                out.append((own, *_exact_best(own, v, *rows, k)))
+                continue
+            at = np.searchsorted(plain[0], own)
+            same = [at] if at < len(plain[0]) and plain[0][at] == own else None
             found, scores = index.search(v, k, same)
-            out.append((own, rows[0][found], scores))
+            found = plain[0][found]
+            if len(far[0]):
+                more = _exact_best(own, v, *far, k)
+                found, scores = np.concatenate((found, more[0])), np.concatenate((scores, more[1]))
+                best = _best(scores.tolist(), found.tolist(), k)
+                found, scores = found[best], scores[best]
+            out.append((own, found, scores))
     columns = [
         np.repeat([o[0] for o in out], [len(o[1]) for o in out]).astype(np.int64),
         np.concatenate([o[1] for o in out]) if out else np.zeros(0, np.int64),
@@ -193,6 +208,20 @@ def _search(block: pa.Table, k: int) -> pa.Table:
     return pa.table(columns, names=["query_id", "found", "score"])
 
 
+def _best(scores: list[int], ids: list[int], k: int) -> list[int]:
+    return sorted(range(len(ids)), key=lambda i: (-scores[i], ids[i]))[:k]
+
+
+def _exact_best(own: int, query: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, scores) of the k best rows but ``own``, by integers of any size, brought into 64 bits."""
+    other = ids != own
+    most = np.iinfo(np.int64)
+    scores = [min(max(s, most.min), most.max) for s in (vectors[other].astype(object) @ query.astype(object)).tolist()]
+    ids = ids[other]
+    best = _best(scores, ids.tolist(), k)
+    return ids[best], np.array([scores[i] for i in best], dtype=np.int64)
+
+
 def _distinct(at: np.ndarray, ids: np.ndarray, flat: np.ndarray, begins: np.ndarray, d: int) -> tuple[np.ndarray, np.ndarray]:
     """(ids, vectors) sorted by id, one row an id: the smallest vector."""
     v = flat[begins[at][:, None] + np.arange(d)[None, :]] if d else np.zeros((len(at), 0), np.int64)
