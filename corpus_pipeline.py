@@ -16,30 +16,37 @@ from tillroll.llm.common import table, work_folder
 
 #: Fixed value: the vocabulary of the last stage.
 VOCABULARY = "byte_bpe_50k.json"
+#: Most languages that the labels may name.
+LANGUAGES = 4096
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents written in some language; the model is learned from those of them that are labelled."""
-    model = langid.learn(docs.where(~langid.held_out(F.col("doc_id"))))
-    return langid.keep_languages(docs, model)
+    """Documents written in some language, with the predicted one as their ``lang``; the model is learned from those of
+    them that are labelled. Null and empty texts, and those without a letter, go; without labels all go. Rows that repeat
+    are judged alike; an empty table stays empty."""
+    model = langid.learn(docs.where(~langid.held_out(F.col("doc_id"))), LANGUAGES)
+    return langid.keep_languages(docs, model, into="lang")
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of equal texts: that of the largest id. Null counts as empty; of rows that repeat id and
+    text one stays; a null id stays only where its group has no other."""
     return exact.drop_exact_duplicates(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the smallest id."""
+    """One document of each group of near copies: the smallest id. Texts without words and rows without an id stay."""
     return jaccard.drop_near_duplicates(docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mixture takes them: a row for each time."""
+    """Documents as often as the mixture takes them: a row for each time, none for some. A null text has no words and
+    is not taken; a null source is one of its own; rows that repeat are taken alike."""
     return mixing.mixed(docs)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of each text, and digests of them and of what they decode to."""
+    """Number of ids of each text, and digests of them and of what they decode to. Null counts as empty."""
     import public_tokenizers
 
     return bpe.round_trip(docs, public_tokenizers.path(VOCABULARY), keep=["doc_id", "lang", "source"])
