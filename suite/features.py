@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from suite.columns import read, tokens_sql, words_sql
 from tillroll.functions import text
-from tillroll.operators import aggregates, encode, model, split, vocab
+from tillroll.operators import aggregates, artefact, encode, model, split, vocab
 from tillroll.session import checkpoint_root
 from tillroll.sources import tables
 
@@ -361,21 +361,121 @@ def labelled_orders(spark, sf) -> DataFrame:
 _GROUPS = model.FeatureGroups(categorical=("payment_method",))
 
 
-@query()
-def feature_vectors(spark, sf):
-    d = labelled_orders(spark, sf)
-    fitted = model.feature_pipeline(_GROUPS).fit(d)
+def _feature_sql() -> str:
+    """The vectors' length and sum, from the orders: scaled numbers, one dummy, weights of the terms of two texts."""
+    numbers = {
+        "year": "year(datetime)", "month": "month(datetime)", "dow": "isodow(datetime) - 1", "dom": "day(datetime)",
+        "week": "week(datetime)", "weekend": "CASE WHEN isodow(datetime) >= 6 THEN 1 ELSE 0 END", "amount": "amount", "log": "ln(1 + amount)",
+    }
+    scaled = " + ".join(f"CASE WHEN d_{n} = 0 THEN 0 ELSE ({n} - m_{n}) / d_{n} END" for n in numbers)
+    terms = "\nUNION ALL ".join(
+        f"SELECT tx_id, '{c}' AS c, unnest({words_sql(c)}) AS term FROM l" for c in ("notes", "merchant")
+    )
+    return f"""
+WITH l AS ({_LABELLED_SQL}),
+x AS (SELECT tx_id, {", ".join(f"CAST({e} AS DOUBLE) AS {n}" for n, e in numbers.items())} FROM l),
+m AS (SELECT {", ".join(f"avg({n}) AS m_{n}, stddev_pop({n}) AS d_{n}" for n in numbers)} FROM x),
+t AS ({terms}),
+n AS (SELECT count(*) AS n FROM l),
+v AS (SELECT c, term, ln(1 + any_value(n.n) / (1 + count(DISTINCT tx_id))) AS idf FROM t, n GROUP BY c, term
+  QUALIFY row_number() OVER (PARTITION BY c ORDER BY count(*) DESC, term DESC) <= 150),
+w AS (SELECT tx_id, sum(idf) AS w FROM t JOIN v USING (c, term) GROUP BY tx_id)
+SELECT x.tx_id, CAST({len(numbers)} + (SELECT count(*) FROM v) + (SELECT count(DISTINCT payment_method) FROM l) AS INTEGER) AS width,
+  round({scaled} + 1 + coalesce(w, 0), 4) AS total
+FROM x CROSS JOIN m LEFT JOIN w USING (tx_id)"""
+
+
+_LABELLED_SQL = """SELECT o_orderkey AS tx_id, o_orderdate AS datetime, o_totalprice AS amount, o_orderstatus AS payment_method,
+  CASE WHEN o_orderkey % 5 = 0 THEN 'unknown shop' ELSE lower(c_mktsegment) || ' shop ' || CAST(o_custkey % 97 AS VARCHAR) END AS merchant,
+  'order ' || o_orderpriority AS notes FROM orders JOIN customer ON o_custkey = c_custkey"""
+
+
+def _vector_sums(features: model.Features, d: DataFrame) -> DataFrame:
     v = vector_to_array(F.col("features"))
-    out = fitted.transform(d).select("tx_id", v.alias("v"))
+    out = features.transform(d).select("tx_id", v.alias("v"))
     return out.select("tx_id", F.size("v").alias("width"), F.round(F.reduce("v", F.lit(0.0), lambda a, x: a + x), 4).alias("total"))
 
 
+@query(_feature_sql())
+def feature_vectors(spark, sf):
+    d = labelled_orders(spark, sf)
+    return _vector_sums(model.fit_features(d, _GROUPS), d)
+
+
+def _saved(spark: SparkSession, table: DataFrame, kind: str, **params) -> artefact.Artefact:
+    path = f"{checkpoint_root(spark)}/{kind}-{uuid.uuid4().hex}"
+    artefact.save(table, path, kind, **params)
+    return artefact.load(spark, path, kind)
+
+
+@query(ORACLES["feature_vectors"])
+def saved_features(spark, sf):
+    """Fitted features written to files and read back."""
+    d = labelled_orders(spark, sf)
+    path = f"{checkpoint_root(spark)}/features-{uuid.uuid4().hex}"
+    model.fit_features(d, _GROUPS).save(path)
+    return _vector_sums(model.Features.load(spark, path), d)
+
+
+@query(ORACLES["text_to_sequence"])
+def saved_vocabulary(spark, sf):
+    d = _documents(spark, sf)
+    kept = _saved(spark, vocab.build_vocab(d, "tokens", 1024), "vocabulary", length=24)
+    out = vocab.text_to_sequence(d, "doc_id", "tokens", kept.table, kept.params["length"])
+    return out.select("doc_id", F.array_join(F.col("sequence").cast("array<string>"), " ").alias("sequence"))
+
+
+@query(ORACLES["tfidf_smooth"])
+def saved_idf(spark, sf):
+    d = read(spark, sf, "documents").select("doc_id", text.word_tokens(F.col("text")).alias("tokens"))
+    kept = _saved(spark, vocab.idf_table(d, "doc_id", "tokens", 300, "smooth_l2"), "idf", mode="smooth_l2")
+    out = vocab.tfidf(d, "doc_id", "tokens", 300, kept.params["mode"], fitted=kept.table)
+    return out.select("doc_id", "term", rounded("value"))
+
+
+@query(ORACLES["encode_all_labels"])
+def saved_labels(spark, sf):
+    c = read(spark, sf, "customer")
+    fitted = encode.fit_all_labels(c, ["c_mktsegment", "c_name"])
+    kept = {name: _saved(spark, table, "labels", column=name).table for name, table in fitted.items()}
+    out = encode.encode_label(c, "c_mktsegment", "c_name", labels=kept)
+    return out.select("c_custkey", "c_mktsegment_idx", "c_name_idx")
+
+
+@query(ORACLES["encode_category"])
+def saved_categories(spark, sf):
+    o = read(spark, sf, "orders")
+    cols = ["o_orderpriority", "o_orderstatus"]
+    fitted = encode.fit_categories(o.where("o_orderstatus <> 'P'"), cols).select("col", "value", "n", "idx")
+    out = encode.encode_category(o, cols, _saved(spark, fitted, "categories", columns=cols).table)
+    return out.select("o_orderkey", "o_orderpriority_id", "o_orderstatus_id")
+
+
+@query(ORACLES["scale_with_fitted"])
+def saved_scaler(spark, sf):
+    o = read(spark, sf, "orders")
+    kept = _saved(spark, encode.fit_scaler(o.where("o_orderstatus = 'F'"), ["o_totalprice"]), "scaler")
+    out = encode.standard_scale(o, ["o_totalprice"], kept.table)
+    return out.select("o_orderkey", rounded("o_totalprice_scaled"))
+
+
+_SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+
+
+@query("""
+SELECT c_mktsegment AS category, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey
+WHERE c_mktsegment <> 'HOUSEHOLD' GROUP BY 1""")
+def unknown_categories(spark, sf):
+    """Labels outside the closed domain of spending categories, which has one of the segments."""
+    return model.unknown_categories(labelled_orders(spark, sf))
+
+
 def _category_run(spark, sf, **options) -> DataFrame:
     d = split.split_frac(labelled_orders(spark, sf), "tx_id", 0.8)
-    fitted = model.train_category_model(d.where("is_train"), groups=_GROUPS, **options)
+    fitted = model.train_category_model(d.where("is_train"), groups=_GROUPS, domain=_SEGMENTS, **options)
     path = f"{checkpoint_root(spark)}/model-{uuid.uuid4().hex}"
-    model.save_model(fitted, path)
-    held = model.predict_category(model.load_model(path), d.where("NOT is_train"))
+    fitted.save(path)
+    held = model.predict_category(model.CategoryModel.load(spark, path), d.where("NOT is_train"))
     return aggregates.evaluate(held, "category", "predicted_category").drop("log_loss")
 
 
@@ -385,6 +485,12 @@ def category_logistic(spark, sf):
     return _category_run(spark, sf, kind="logistic", max_iter=20)
 
 
+@query()
+def category_validated(spark, sf):
+    """The regularisation picked on a share of the training rows."""
+    return _category_run(spark, sf, kind="logistic", max_iter=10, validate=0.2)
+
+
 @query()
 def category_network(spark, sf):
     return _category_run(spark, sf, kind="mlp", hidden=(32,), max_iter=20)

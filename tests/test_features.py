@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from suite.features import _GROUPS, labelled_orders
+from suite.features import _GROUPS, _SEGMENTS, labelled_orders
 from tillroll.operators import aggregates, encode, model, split, titles, vocab
 
 
@@ -191,7 +191,7 @@ def test_title_model_beats_majority(spark, emails, tmp_path):
 def test_category_model_beats_majority(spark, sf, kind):
     df = labelled_orders(spark, sf).cache()
     fitted = model.train_category_model(
-        df, kind=kind, groups=_GROUPS, hidden=(16,), max_iter=15, validate=0.2 if kind == "logistic" else 0.0
+        df, kind=kind, groups=_GROUPS, domain=_SEGMENTS, hidden=(16,), max_iter=15, validate=0.2 if kind == "logistic" else 0.0
     )
     r = aggregates.evaluate(model.predict_category(fitted, df), "category", "predicted_category").first()
     most = df.groupBy("category").count().agg(F.max("count")).first()[0] / df.count()

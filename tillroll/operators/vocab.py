@@ -15,7 +15,6 @@ from tillroll.operators.lookup import lookup, small
 from tillroll.session import reliable_checkpoint
 
 PAD, UNKNOWN = 0, 1
-_BUCKETS = 256
 
 
 def _terms(tokens: str) -> Column:
@@ -26,20 +25,12 @@ def _terms(tokens: str) -> Column:
 def term_stats(df: DataFrame, id: str, tokens: str, unique: bool = False) -> DataFrame:
     """``(term, tf, df)``: occurrences, and documents with the term.
 
-    ``unique`` says that every row is a document of its own. Then one shuffle on the term is enough,
-    and it carries one row per task and term.
+    ``unique`` says that every row is a document of its own. Then a document gives a row for each of its distinct terms,
+    and one shuffle on the term is enough, which carries one row per task and term.
     """
     if unique:
-        words = F.transform(tokens, lambda t: F.struct(t.alias("term"), F.lit(1).alias("n"), F.lit(0).alias("d")))
-        docs = F.transform(
-            F.array_distinct(tokens),
-            lambda t: F.struct(t.alias("term"), F.lit(0).alias("n"), F.lit(1).alias("d")),
-        )
-        return (
-            df.select(F.inline(F.concat(words, docs)))
-            .groupBy("term")
-            .agg(F.sum("n").alias("tf"), F.sum("d").alias("df"))
-        )
+        counted = F.filter(_runs(F.filter(tokens, lambda t: t.isNotNull())), lambda r: r["tf"] > 0)
+        return df.select(F.inline(counted)).groupBy(F.col("value").alias("term")).agg(F.sum("tf").alias("tf"), F.count("*").alias("df"))
     return (
         df.select(id, _terms(tokens).alias("term"))
         .groupBy(id, "term")
@@ -69,20 +60,28 @@ def build_vocab(df: DataFrame, tokens: str, k: int = 1024, reserved: int = 2) ->
 
 
 def _table(vocab: DataFrame, token: str, *values: str) -> Column:
-    """A vocabulary as one value: hash buckets of small maps, so that a lookup reads few entries."""
+    """A vocabulary as one value: hash buckets of small maps, as many as keep some four entries in each."""
+    buckets = max(1, vocab.count() // 4)
     entry = F.struct(F.col(token), F.struct(*values))
     rows = (
-        vocab.groupBy(F.pmod(F.hash(token), F.lit(_BUCKETS)).alias("b"))
+        vocab.groupBy(F.pmod(F.hash(token), F.lit(buckets)).alias("b"))
         .agg(F.map_from_entries(F.collect_list(entry)).alias("m"))
-        .agg(F.map_from_entries(F.collect_list(F.struct("b", "m"))).alias("all"))
+        .agg(F.sort_array(F.collect_list(F.struct("b", F.map_entries("m").alias("m")))).alias("all"))
+    )
+    # buckets without an entry are empty, so that a bucket's number is its place
+    empty = F.slice(F.element_at("all", 1)["m"], 1, 0)
+    placed = F.reduce(
+        "all",
+        F.array().cast(rows.select(F.array(F.element_at("all", 1)["m"]).alias("x")).schema["x"].dataType),
+        lambda acc, x: F.concat(acc, F.array_repeat(empty, x["b"] - F.size(acc)), F.array(x["m"])),
     )
-    spread = F.transform(F.sequence(F.lit(0), F.lit(_BUCKETS - 1)), lambda b: F.try_element_at("all", b))
-    return rows.select(spread).scalar()
+    padded = F.concat(placed, F.array_repeat(empty, F.lit(buckets) - F.size(placed)))
+    return rows.select(F.transform(padded, F.map_from_entries)).scalar()
 
 
 def _entry(table: Column, term: Column) -> Column:
     """Values of a term in a table; NULL when it is not in the vocabulary."""
-    return F.try_element_at(F.get(table, F.pmod(F.hash(term), F.lit(_BUCKETS))), term)
+    return F.try_element_at(F.get(table, F.pmod(F.hash(term), F.size(table))), term)
 
 
 def text_to_sequence(
@@ -203,3 +202,37 @@ def tfidf(
     rows = held.select(id, weighted.alias("_w"))
     # a computed generator input: Spark would add a filter on a bare column and compute it twice
     return rows.select(id, F.inline(F.filter("_w", lambda w: w["value"].isNotNull())))
+
+
+def positions(fitted: DataFrame) -> DataFrame:
+    """``(term, pos, idf)``: an idf table with the place of each term in a vector, the most frequent one first."""
+    rank = F.row_number().over(W.orderBy(F.desc("tf"), F.desc("term")))  # as many rows as a vector is long
+    return fitted.select("term", (rank - 1).alias("pos"), "idf")
+
+
+def tfidf_vector(df: DataFrame, tokens: Column, fitted: DataFrame, mode: str, out: str) -> DataFrame:
+    """Add ``out``, the weights of a row's terms as an ``array<double>`` with a place for each term of ``fitted``.
+
+    The same values as :func:`tfidf`, beside the row they belong to: no shuffle and no id is needed. NULL tokens and rows
+    without a known term give zeros.
+    """
+    table = positions(fitted)
+    k = table.count()
+    if not k:
+        return df.withColumn(out, F.array().cast("array<double>"))
+    if not small(table):
+        raise ValueError(f"{k} terms are too many for a vector; tfidf has them as rows")
+    held = df.withColumns({"_tokens": F.coalesce(tokens, F.array().cast("array<string>")), "_terms": _table(table, "term", "pos", "idf")})
+    found = F.filter(F.transform("_tokens", lambda t: _entry(F.col("_terms"), t)), lambda e: e.isNotNull())
+    weights = bind(found, lambda f: F.transform(_runs(f), lambda r: F.struct(r["value"]["pos"].alias("pos"), (r["tf"] * r["value"]["idf"]).alias("w"))))
+    if mode == "smooth_l2":
+
+        def scale(ws: Column) -> Column:
+            norm = F.sqrt(F.reduce(ws, F.lit(0.0), lambda acc, w: acc + w["w"] * w["w"]))
+            return bind(norm, lambda n: F.transform(ws, lambda w: F.struct(w["pos"].alias("pos"), (w["w"] / n).alias("w"))))
+
+        weights = bind(weights, scale)
+    none = F.map_from_arrays(F.array().cast("array<int>"), F.array().cast("array<double>"))
+    placed = F.coalesce(F.map_from_entries(weights), none)
+    dense = bind(placed, lambda m: F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.coalesce(F.try_element_at(m, i), F.lit(0.0))))
+    return held.withColumn(out, dense).drop("_tokens", "_terms")
