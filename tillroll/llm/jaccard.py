@@ -40,7 +40,7 @@ _SHARDS = 64
 _FILL = {False: 1.0, True: 2.0}
 _SMALL, _LARGE = 64, 256
 #: Least and most bits of the cells that a set is counted by.
-_CELL_BITS = 6, 16
+_CELL_BITS = 6, 13
 #: Numbers of 64 bits in a sketch.
 _SKETCH = 16
 _BLOCK = 1 << 20
