@@ -14,7 +14,7 @@ from pyspark.ml.classification import (
     MultilayerPerceptronClassifier,
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import VectorAssembler, VectorSizeHint
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -106,9 +106,10 @@ class Features:
         for c in self.groups.texts:
             taken = tfidf_vector(taken, _tokens(c, self.groups), self.idf[c], self.groups.mode, f"f_{c}_tfidf")
             blocks.append(f"f_{c}_tfidf")
-        vectors = taken.withColumns({b: array_to_vector(b) for b in blocks})
-        # the assembler gives sparse vectors where these are smaller
-        return VectorAssembler(inputCols=blocks, outputCol=out).transform(vectors).drop(*blocks)
+        whole = taken.withColumn("f_all", array_to_vector(F.concat(*blocks))).drop(*blocks)
+        # the assembler gives sparse vectors where these are smaller; it need not look at a row for their length
+        sized = VectorSizeHint(inputCol="f_all", size=self.width, handleInvalid="optimistic").transform(whole)
+        return VectorAssembler(inputCols=["f_all"], outputCol=out).transform(sized).drop("f_all")
 
     @property
     def width(self) -> int:
