@@ -90,6 +90,12 @@ def orders_base(spark: SparkSession, sf: str) -> DataFrame:
             "fee_comma2": F.format_number("fee", 2),
             "fee_dot": dotted(F.col("fee")),
             "fee_space": F.translate(F.format_number("fee", 0), ",", " "),
+            # whole and decimal, grouped by either mark or not at all
+            "usd": F.element_at(
+                F.array(F.format_number("amount", 0), dotted(F.col("amount")), F.format_number("amount", 2), F.concat(dotted(F.col("amount")), F.lit(",00")),
+                        F.concat(F.col("amount").cast("string"), F.lit(",00")), F.concat(F.col("amount").cast("string"), F.lit(".0"))),
+                (F.floor(F.col("k") / 35) % 6 + 1).cast("int"),
+            ),
             "wallet": F.element_at(
                 F.array(*map(F.lit, ("ShopeePay", "DANA", "GoPay", "OVO"))), (F.col("k") % 4 + 1).cast("int")
             ),
@@ -376,7 +382,7 @@ LAYOUTS: list[tuple[str, str, str, str, str]] = [
     ),
     (
         "paypal", "sent", _PAYPAL, "You sent a payment",
-        "<p>You sent a payment to {merchant}</p><<<p>You paid ${plain},00 USD</p>>>"
+        "<p>You sent a payment to {merchant}</p><<<p>You paid ${usd} USD</p>>>"
         + _lines(
             ("Transaction date", "{d1} {month} {y}"),
             ("Merchant", "{merchant}"),
@@ -387,7 +393,7 @@ LAYOUTS: list[tuple[str, str, str, str, str]] = [
     ),
     (
         "paypal", "payment", _PAYPAL, "Receipt for your payment to {merchant}",
-        "<p>Rincian pembayaran anda</p><<<p>Total ${plain},00 USD</p>>>"
+        "<p>Rincian pembayaran anda</p><<<p>Total ${usd} USD</p>>>"
         + _lines(
             ("Tanggal transaksi", "{d1} {bulan} {y}"),
             ("Merchant", "{merchant}"),
@@ -397,7 +403,7 @@ LAYOUTS: list[tuple[str, str, str, str, str]] = [
     ),
     (
         "paypal", "received", _PAYPAL, "You've received a payment",
-        "<p>{segment} has sent you money</p><<<p>Amount received ${dot},00 USD</p>>>"
+        "<p>{segment} has sent you money</p><<<p>Amount received ${usd} USD</p>>>"
         + _lines(
             ("Transaction date", "{d1} {mon} {y}"),
             ("Merchant", "{merchant}"),
@@ -410,10 +416,10 @@ LAYOUTS: list[tuple[str, str, str, str, str]] = [
         _lines(
             ("Waktu Transaksi", "{d} {mon} {y} {hm}"),
             ("Jenis Transaksi", "SeaBank Bayar Instan"),
-            ("Nama Merchant", "{segment}"),
+            ("Nama Merchant", "{merchant}"),
             ("?Jumlah", "Rp{dot}"),
             ("No. Referensi", "{id}"),
-            ("Catatan", "Note"),
+            ("Catatan", "Note of {segment}"),
         ),
     ),
     (
@@ -421,9 +427,10 @@ LAYOUTS: list[tuple[str, str, str, str, str]] = [
         _lines(
             ("Waktu Transaksi", "{d} {mon} {y} {hm}"),
             ("Jenis Transaksi", "Real Time (BI-FAST)"),
-            ("Rekening Tujuan", "JAGO-{number}"),
+            ("Rekening Tujuan", "JAGO {merchant} {number}"),
             ("?Jumlah", "Rp{dot}"),
             ("No. Referensi", "{id}"),
+            ("Catatan", "Rent and food"),
         ),
     ),
     (

@@ -101,9 +101,8 @@ _MERCHANT = """CASE
   WHEN vi = 11 THEN 'Grab'
   WHEN vi = 14 THEN 'Itemku'
   WHEN vi = 19 THEN 'Mobapay'
-  WHEN vi IN (21, 22, 29) THEN seg
-  WHEN vi = 23 THEN CASE WHEN merchant LIKE '% % %' THEN 'Middle East' ELSE merchant END
-  WHEN vi = 30 THEN 'JAGO-' || k
+  WHEN vi = 23 THEN 'Penerima Uang ' || merchant
+  WHEN vi = 30 THEN 'JAGO ' || merchant || ' ' || k
   WHEN vi = 31 THEN 'Steam'
   WHEN vi = 33 THEN 'UniPin'
   WHEN vi = 34 THEN merchant || ' Inc.'
@@ -157,7 +156,8 @@ _DESCRIPTION = """CASE
   WHEN vi = 21 THEN 'QR Payment Merchant PAN 9360001430019008'
   WHEN vi = 22 THEN 'Pembayaran QR PAN Merchant 9360001430019008'
   WHEN vi = 25 THEN 'OVO'
-  WHEN vi = 29 THEN 'Note'
+  WHEN vi = 29 THEN 'Note of ' || seg
+  WHEN vi = 30 THEN 'Rent and food'
   WHEN vi = 32 THEN 'Tokopedia'
   WHEN vi = 34 THEN 'Coins ' || k
   ELSE '' END"""

@@ -21,7 +21,7 @@ from tillroll.plans.rule import all_rules
 from tillroll.schemas import TRANSACTIONS
 from tillroll.session import checkpoint_root
 from tillroll.sources import mail, tables
-from tillroll.streaming.ingest import stream_extract
+from tillroll.streaming.ingest import fullest, stream_extract
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -388,6 +388,20 @@ def stream_extraction(spark, sf):
     return shown(spark.read.parquet(root + "/out"))
 
 
+@query(with_expected(f"SELECT {TX_COLUMNS} FROM tx WHERE message_id NOT LIKE '%-2'"))
+def stream_fullest(spark, sf):
+    """Copies that lack fields, and copies of larger ids, arrive before the ones to keep."""
+    root = _scratch(spark, "fullest")
+    mails = render_emails(spark, sf)
+    second = F.col("message_id").endswith("-2")
+    known = {"sink": root + "/out", "checkpoint": root + "/state", "keep": "fullest"}
+    mails.where(second).write.parquet(root + "/in")
+    stream_extract(spark, root + "/in", **known).awaitTermination()
+    mails.where(~second).write.mode("append").parquet(root + "/in")
+    stream_extract(spark, root + "/in", **known).awaitTermination()
+    return shown(fullest(spark, root + "/out"))
+
+
 @query("""
 SELECT p_partkey, '#### ' || p_name || chr(10) || chr(10) || p_brand || ' & ' || p_type || ' <b>'
   || chr(10) || 'size: ' || p_size || chr(10) || chr(10) || 'a b' || chr(10) || chr(10) || '* x' AS text FROM part""")

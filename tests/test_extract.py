@@ -61,6 +61,26 @@ CASES = [
         "Your total for this transaction: Rp 238,440\nPayment method: Visa\n",
         ("steam", "2024-04-17 20:58:00", "Steam", "238440.00", "IDR", "Visa", "38692", ""),
     ),
+    (
+        "onlinetransaction@ocbc.id",
+        "Successful QR Payment 1",
+        "QR Payment\nReference No.: MB1\nPayment Date: 19/11/2024\nMerchant PAN 9360001430019008 TOKO ROTI BU ANI\n"
+        "Amount Pay IDR 12,500.00\nTip IDR 0.00\n",
+        ("ocbc", "2024-11-19 00:00:00", "TOKO ROTI BU ANI", "12500.00", "IDR", "OCBC", "MB1", None),
+    ),
+    (
+        "alerts@seabank.co.id",
+        "Notifikasi Transaksi SeaBank",
+        "Waktu Transaksi\n22 Nov 2024 18:48\nJenis Transaksi\nSeaBank Bayar Instan\nNama Merchant\nToko Roti Ani\n"
+        "Jumlah\nRp20.000\nNo. Referensi\n2024\nCatatan\nroti dan kopi\n",
+        ("seabank", "2024-11-22 18:48:00", "Toko Roti Ani", "20000.00", "IDR", "SeaBank", "2024", "roti dan kopi"),
+    ),
+    (
+        "service@intl.paypal.com",
+        "You sent a payment",
+        "You sent a payment\nYou paid $1,234 USD\n\nTransaction date\n\n4 May 2024\n\nTransaction ID\n\nAB13\n\n",
+        ("paypal", "2024-05-04 00:00:00", "Paypal", "1234.00", "USD", "Paypal", "AB13", ""),
+    ),
     (
         "noreply@ovo.co.id",
         "OVO QR Payment Receipt",

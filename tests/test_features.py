@@ -1,3 +1,4 @@
+import hashlib
 import math
 import random
 from collections import Counter
@@ -121,6 +122,23 @@ def test_stratified_is_exact_with_a_hot_class(spark):
     assert again.exceptAll(out).count() == 0
 
 
+@pytest.mark.parametrize("ranked", [1, 40, 20_000])
+def test_quotas_are_refined(spark, ranked):
+    """The same rows whatever is left to rank, also of ids that repeat."""
+    label = F.when(F.col("id") % 10 < 8, "hot").when(F.col("id") % 10 < 9, "mid").otherwise(None)
+    df = spark.range(40_000).select("id", label.alias("c"))
+    out = split.split_stratified(df, "id", "c", 0.15, ranked=ranked)
+    digests = sorted((hashlib.md5(f"{i}:42".encode()).hexdigest(), i) for i in range(40_000) if i % 10 < 8)
+    assert {r.id for r in out.where("is_held AND c = 'hot'").collect()} == {i for _, i in digests[:4800]}
+    assert out.where("is_held").count() == 4800 + 600 + 600 and out.count() == 40_000
+    twice = df.union(df.limit(500)).union(spark.createDataFrame([(7, "rep")] * 300, "id long, c string"))
+    held = split.split_stratified(twice, "id", "c", 0.5, ranked=ranked).where("c = 'rep'")
+    assert held.where("is_held").count() == 150 and held.count() == 300
+    for frac, n in ((0.0, 0), (1.0, 40_000)):
+        assert split.split_stratified(df, "id", "c", frac, ranked=ranked).where("is_held").count() == n
+    assert split.split_stratified(df.limit(0), "id", "c", 0.5, ranked=ranked).count() == 0
+
+
 def test_split_and_shuffle(spark):
     df = spark.range(20_000)
     out = split.split_frac(df, "id", 0.8)

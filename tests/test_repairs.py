@@ -31,11 +31,20 @@ def test_one_bad_mail_costs_only_itself(spark):
 
 
 def test_grouped_amounts(spark):
-    cases = {"1,234.56": "1234.56", "1.234,56": "1234.56", "2,50": "2.50", "2.50": "2.50", "1,234,567.89": "1234567.89"}
+    cases = {
+        "1,234.56": "1234.56", "1.234,56": "1234.56", "2,50": "2.50", "2.50": "2.50", "1,234,567.89": "1234567.89",
+        "1,234": "1234.00", "1.234": "1234.00", "1,234,567": "1234567.00", "1.234.567": "1234567.00", "12.345.678,9": "12345678.90",
+        "1234": "1234.00", "1234,567": "1234.57", "0,125": "0.13", "0.5": "0.50", ",50": "0.50", "999,999": "999999.00",
+        "12,3456": "12.35", "": None, "x": None, None: None, "1,2.3,4": "123.40",
+    }
     df = spark.createDataFrame([(k,) for k in cases], "t string")
     for style in ("M5", "M7"):
         got = {r.t: r.v for r in df.select("t", parse_money(F.col("t"), style).alias("v")).collect()}
-        assert got == {k: Decimal(v) for k, v in cases.items()}
+        assert got == {k: v and Decimal(v) for k, v in cases.items()}
+    # a dinar has a thousand parts
+    coins = spark.createDataFrame([("1,234", "KWD"), ("1.234", "kwd"), ("1,234", "USD"), ("1,234", None), ("1,234,567", "BHD")], "t string, c string")
+    got = [r.v for r in coins.select(parse_money(F.col("t"), "M5", currency=F.col("c")).alias("v")).collect()]
+    assert got == [Decimal(v) for v in ("1.23", "1.23", "1234.00", "1234.00", "1234567.00")]
 
 
 def test_null_is_a_class(spark):

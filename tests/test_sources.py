@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tillroll.operators import extract, plugin, route
 from tillroll.sources import mail as mails
 from tillroll.sources import tables
-from tillroll.streaming.ingest import stream_extract
+from tillroll.streaming.ingest import fullest, stream_extract
 from suite.receipts import _SubjectReceipt
 
 BODY = (
@@ -72,6 +72,30 @@ def test_stream_equals_batch_and_resumes(spark, tmp_path):
     assert sorted(r.trx_id for r in got.collect()) == [*want, "R7"]
 
 
+def test_fullest_copy_of_a_stream_is_that_of_the_batch(spark, tmp_path):
+    """Copies without an amount or a date come first, last or between, also in one batch."""
+    whole = BODY.replace("R{d}", "X{d}")
+    forms = {"whole": whole, "poor": whole.replace("Target Amount", "Something"), "poorer": whole.replace("Target Amount", "a").replace("Transaction Date", "b")}
+    orders = [("poor", "whole"), ("whole", "poor"), ("poorer", "poor", "whole"), ("poor", "poor"), ("whole", "whole", "poorer"), ("poorer",)]
+    rows = [(step, f"m{9 - step}-{key}", forms[form].format(d=key + 10)) for key, order in enumerate(orders) for step, form in enumerate(order)]
+    columns = "message_id string, subject string, from_header string, from_addr string, from_domain string, body_html string, body_text string"
+    known = dict(sink=str(tmp_path / "out"), checkpoint=str(tmp_path / "state"), keep="fullest")
+    every = None
+    for step in range(3):
+        now = [(m, "Internet Transaction Journal", "x", "bca@bca.co.id", "bca.co.id", body, None) for s, m, body in rows if s == step]
+        now += now[:1]  # the same mail twice
+        df = spark.createDataFrame(now, columns)
+        df.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        every = df if every is None else every.union(df)
+        stream_extract(spark, str(tmp_path / "in"), **known).awaitTermination()
+        got = fullest(spark, known["sink"])
+        want = route.dedup_transactions(extract.extract_transactions(every)).select(*got.columns)
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    written = spark.read.parquet(known["sink"])
+    assert written.count() < every.count()
+    assert {r.trx_id: r.n for r in written.groupBy("trx_id").agg(F.count("*").alias("n")).collect()}["X11"] == 1  # the first was the best
+
+
 def test_report_and_unparsed_files(spark, emails, tmp_path):
     tx = extract.extract_transactions(emails)
     proper = route.is_proper(tx).where("proper").drop("proper")

@@ -203,7 +203,7 @@ def _stripped(f: Column) -> list[Column]:
 def _typed(m: Column, rules: Sequence[Rule]) -> Column:
     rule = m["_rule"]
     dates = _styled(rule, rules, lambda r: r.dates, lambda fmts: parse_ts(m["_date"], *fmts))
-    amount = _styled(rule, rules, lambda r: (r.money, r.whole), lambda style: parse_money(m["_amount"], style[0], whole=style[1]))
+    amount = _styled(rule, rules, lambda r: (r.money, r.whole), lambda style: parse_money(m["_amount"], style[0], whole=style[1], currency=m["_currency"]))
     fees = _styled(rule, rules, lambda r: r.fee_money or r.money, lambda style: parse_money(m["_fees"], style))
     return F.struct(dates.alias("date"), amount.alias("amount"), fees.alias("fees"))
 
@@ -241,7 +241,7 @@ def _parsed(read: DataFrame, rules: Sequence[Rule], keep: Sequence[str]) -> Data
     stripped = read.select(*rest, *_stripped(F.col("_f")))
     dated = stripped.withColumn("_date", F.trim(english_month(F.col("_date"))))
     # behind a generator too: filters and sums of a caller then read the values instead of parsing again
-    typed_once = F.explode(F.transform(F.array(F.struct("_rule", "_date", "_amount", "_fees")), lambda m: _typed(m, rules)))
+    typed_once = F.explode(F.transform(F.array(F.struct("_rule", "_date", "_amount", "_fees", "_currency")), lambda m: _typed(m, rules)))
     texts = [_settled(F.col, name, rules).alias(f"_t_{name}") for name in _SETTLED]
     values = dated.select(*rest, "_rule", *texts, typed_once.alias("_v"))
     fields = _fields(lambda name: F.col(f"_t_{name}"), F.col("_v"), F.col("_rule"), rules)

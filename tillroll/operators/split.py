@@ -36,39 +36,53 @@ def shuffled(df: DataFrame, id: str, seed: int = 42) -> DataFrame:
     return df.orderBy(keyed_hash(F.col(id), seed), id)
 
 
-def split_stratified(df: DataFrame, id: str, label: str, frac: float, seed: int = 42) -> DataFrame:
+#: Rows of a class that are ranked in one place, at most.
+RANKED = 20_000
+#: Hex digits of the digest that a level of counts looks at, and all that it has.
+_DIGITS, _ALL = 3, 32
+
+
+def _cuts(counts: DataFrame, quota: Column) -> DataFrame:
+    """Where the quota of each class falls: the bucket ``_cut``, its ``_rows``, and how many of them ``_left`` are held.
+
+    ``counts`` has ``(_class, _bucket, _n)``; at most 4096 rows per class.
+    """
+    by_class = W.partitionBy("_class")
+    upto = F.sum("_n").over(by_class.orderBy("_bucket").rowsBetween(W.unboundedPreceding, 0))
+    found = counts.select("_class", "_bucket", "_n", upto.alias("_upto"), quota.alias("_quota"))
+    here = (F.col("_upto") >= F.col("_quota")) & (F.col("_upto") - F.col("_n") < F.col("_quota"))
+    left = F.col("_quota") - (F.col("_upto") - F.col("_n"))
+    return found.where(here).select(F.col("_class").alias("_cut_class"), F.col("_bucket").alias("_cut"), left.alias("_left"), F.col("_n").alias("_rows"))
+
+
+def split_stratified(df: DataFrame, id: str, label: str, frac: float, seed: int = 42, ranked: int = RANKED) -> DataFrame:
     """Add ``is_held``: exactly round(frac x rows) of every class, by the smallest digests. NULL is a class.
 
-    Ranking a whole class in one task would fail for a class with a third of all rows. Instead the
-    digests are counted per class and bucket; every bucket but one is then wholly in or out, and only
-    the rows of that one bucket (about 1/4096 of the class) are ranked.
+    Ranking a whole class in one task would fail for a class with a third of all rows. Instead digests are counted per
+    class and bucket; every bucket but the one at the boundary is then wholly in or out. A boundary bucket of more than
+    ``ranked`` rows is counted again by its next digits, as often as it takes (a level divides it by 4096), and only the
+    rows of the last one are ranked. Only rows that repeat an id, and so its digest, cannot be divided.
     """
     keyed = df.withColumns(
         {"_digest": keyed_hash(F.col(id), seed), "_class": F.coalesce(F.concat(F.lit("="), F.col(label).cast("string")), F.lit(""))}
-    ).withColumn("_bucket", F.substring("_digest", 1, 3))
-    counts = keyed.groupBy("_class", "_bucket").agg(F.count("*").alias("_n"))
-    by_class = W.partitionBy("_class")  # at most 4096 rows per class
-    upto = F.sum("_n").over(by_class.orderBy("_bucket").rowsBetween(W.unboundedPreceding, 0))
-    quota = F.round(F.sum("_n").over(by_class) * F.lit(frac)).cast("bigint")
-    cuts = (
-        counts.select("_class", "_bucket", "_n", upto.alias("_upto"), quota.alias("_quota"))
-        .where((F.col("_upto") >= F.col("_quota")) & (F.col("_upto") - F.col("_n") < F.col("_quota")))
-        .select(
-            F.col("_class").alias("_cut_class"),
-            F.col("_bucket").alias("_cut"),
-            (F.col("_quota") - (F.col("_upto") - F.col("_n"))).alias("_left"),
-        )
     )
+    first = keyed.groupBy("_class", F.substring("_digest", 1, _DIGITS).alias("_bucket")).agg(F.count("*").alias("_n"))
     # one row per class
-    cuts = reliable_checkpoint(cuts)
-    marked = lookup(keyed, F.col("_class"), cuts, "_cut_class", {"_cut": "_cut", "_left": "_left"})
-    decided = marked.where(F.col("_cut").isNull() | (F.col("_bucket") != F.col("_cut"))).withColumn(
-        "is_held", F.coalesce(F.col("_bucket") < F.col("_cut"), F.lit(False))
-    )
-    rank = F.row_number().over(W.partitionBy("_class", "_bucket").orderBy("_digest", id))
-    tied = marked.where(F.col("_bucket") == F.col("_cut")).withColumn("is_held", rank <= F.col("_left"))
-    columns = [*df.columns, "is_held"]
-    return decided.select(*columns).unionByName(tied.select(*columns))
+    cuts = reliable_checkpoint(_cuts(first, F.round(F.sum("_n").over(W.partitionBy("_class")) * F.lit(frac)).cast("bigint")))
+    columns = {c: c for c in ("_cut", "_left", "_rows")}
+    large = (F.col("_rows") > ranked) & (F.length("_cut") < _ALL)
+    while not cuts.where(large).isEmpty():
+        inside = lookup(keyed.select("_class", "_digest"), F.col("_class"), cuts.where(large), "_cut_class", columns).where(F.startswith("_digest", "_cut"))
+        bucket = F.substr("_digest", F.lit(1), F.length("_cut") + _DIGITS).alias("_bucket")
+        counts = inside.groupBy("_class", "_left", bucket).agg(F.count("*").alias("_n"))
+        cuts = reliable_checkpoint(cuts.where(~large).unionByName(_cuts(counts, F.col("_left"))))
+    marked = lookup(keyed, F.col("_class"), cuts, "_cut_class", columns)
+    head = F.substr("_digest", F.lit(1), F.length("_cut"))
+    decided = marked.where(F.col("_cut").isNull() | (head != F.col("_cut"))).withColumn("is_held", F.coalesce(head < F.col("_cut"), F.lit(False)))
+    rank = F.row_number().over(W.partitionBy("_class").orderBy("_digest", id))
+    tied = marked.where(head == F.col("_cut")).withColumn("is_held", rank <= F.col("_left"))
+    out = [*df.columns, "is_held"]
+    return decided.select(*out).unionByName(tied.select(*out))
 
 
 def augment_synonyms(

@@ -97,10 +97,7 @@ _PAYPAL_SENT = (
     r"Anda membayar\s*[$€£]?([\d,.]+)[\s$€£]*(\w+)",
 )
 _PAYPAL_TOTAL = r"Total\s*[€£$]?\s*([\d,.]+)\s*[€£$]?\s*(\w+)"
-_PAYPAL_RECEIVED = (
-    r"(?:Jumlah yang diterima|Amount received)\s*[$€]"
-    r"(\d{1,3}(?:[.,]\d{3})*(?:[.,]\d{2})?)\s*(\w+)"
-)
+_PAYPAL_RECEIVED = r"(?:Jumlah yang diterima|Amount received)\s*[$€]([\d.,]*\d)\s*(\w+)"
 PAYPAL = (
     Rule(
         **_PAYPAL,

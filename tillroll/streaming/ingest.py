@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tillroll.operators.extract import parse_receipts
-from tillroll.operators.route import PLACEHOLDER_IDS
+from tillroll.operators.route import PLACEHOLDER_IDS, dedup_transactions
 from tillroll.plans.rule import Rule, all_rules
 from tillroll.schemas import TRANSACTIONS
 from tillroll.sources.mail import stream_emails, stream_eml
@@ -40,6 +42,53 @@ def extract_stream(emails: DataFrame, rules: Sequence[Rule] | None = None, delay
     )
 
 
+#: Fields whose absence makes a copy less complete, as in ``dedup_transactions``.
+_WANTED = ("trx_id", "date", "merchant", "amount", "currency")
+
+
+def fullest_stream(emails: DataFrame, rules: Sequence[Rule] | None = None, delay: str = "30 days") -> DataFrame:
+    """Transactions of a mail stream that carries ``ingest_ts``: the first copy of each, and any later one that is more
+    complete, or as complete with a smaller message id.
+
+    The state of a key is how complete its best copy is and that copy's message; it expires ``delay`` after the last copy
+    arrived. So the sink holds the fullest copy whatever the order of arrival, and few others; :func:`fullest` reads it.
+    """
+    rules = tuple(rules or all_rules())
+    lacks = sum((F.col(c).isNull().cast("int") for c in _WANTED), F.lit(0))
+    found = parse_receipts(emails, rules, keep=("ingest_ts",), outer=False)
+    found = found.withColumns({"dedup_key": dedup_key(rules), "lacks": lacks}).withWatermark("ingest_ts", delay)
+    names = TRANSACTIONS.fieldNames()
+    seconds = found.sparkSession.sql(f"SELECT CAST(to_timestamp('1970-01-01') + INTERVAL {delay} AS DOUBLE) - CAST(to_timestamp('1970-01-01') AS DOUBLE)").first()[0]
+
+    def best(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        known = state.get if state.exists else None
+        kept, last = None, None
+        for rows in parts:
+            order = rows.sort_values(["lacks", "message_id"], kind="stable")
+            rank = (int(order["lacks"].iloc[0]), order["message_id"].iloc[0])
+            if known is None or rank < tuple(known):
+                known, kept = rank, order.iloc[:1]
+            newest = rows["ingest_ts"].max()
+            last = newest if last is None else max(last, newest)
+        state.update(tuple(known))
+        watermark = state.getCurrentWatermarkMs()
+        state.setTimeoutTimestamp(max(int(last.timestamp() * 1000 + seconds * 1000), watermark + 1))
+        if kept is not None:
+            yield kept[names]
+
+    return found.groupBy("provider", "dedup_key").applyInPandasWithState(
+        best, TRANSACTIONS, "lacks int, message_id string", "append", GroupStateTimeout.EventTimeTimeout
+    )
+
+
+def fullest(spark: SparkSession, sink: str, rules: Sequence[Rule] | None = None) -> DataFrame:
+    """The most complete copy of each transaction that a stream with ``keep="fullest"`` has written."""
+    return dedup_transactions(spark.read.parquet(sink), rules=rules)
+
+
 def stream_extract(
     spark: SparkSession,
     path: str,
@@ -50,14 +99,19 @@ def stream_extract(
     fmt: str = "parquet",
     files_per_trigger: int = 500,
     delay: str = "30 days",
+    keep: str = "first",
 ) -> StreamingQuery:
     """Read what is new under ``path``, extract it, append it to the Parquet folder ``sink``, stop.
 
+    ``keep`` says which copy of a transaction is kept: the ``first`` to arrive, one row each, or the ``fullest``, which
+    :func:`fullest` reads from the sink as ``dedup_transactions`` would choose it.
+
     ``fmt`` is ``parquet`` (EMAILS files) or ``eml``. Each stream has a ``checkpoint`` folder of its own; run
     again with the same one to go on.
     """
     read = {"parquet": stream_emails, "eml": stream_eml}[fmt]
-    found = extract_stream(read(spark, path, files_per_trigger), rules, delay)
+    kept = {"first": extract_stream, "fullest": fullest_stream}[keep]
+    found = kept(read(spark, path, files_per_trigger), rules, delay)
     return (
         found.select(*TRANSACTIONS.fieldNames())
         .writeStream.format("parquet")
