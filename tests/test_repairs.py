@@ -71,3 +71,26 @@ def test_header_block(spark):
     got = [r.h for r in df.select("i", header_block(F.col("content")).alias("h")).orderBy("i").collect()]
     assert [None if g is None else bytes(g).strip() for g in got[:-1]] == [b"A: 1\r\nB: \xff", b"A: 1\n\nbo", b"A: no body", b""]
     assert got[-1] is None
+
+
+def test_many_tables(spark):
+    """More tables than are gone through at a time; nested ones over the boundaries; ends without a begin."""
+    from tillroll.functions.html import html_cells
+
+    n = 400
+    one = "<p>x</p><table><tr><td>{0}</td><td><TABLE class=a><tr><td>in {0}</td></tr></table></td></tr></table>"
+    bodies = {
+        1: "".join(one.format(i) for i in range(n)),
+        2: "<table><tr><td>out " + "".join(f"<table><tr><td>{i}</td></tr></table>" for i in range(n)) + "</td></tr></table>",
+        3: "<table><tr><td>a" * 40 + "</td></tr></table>" * 60 + "<table><tr><td>z</td></tr></table>",
+        4: "no table",
+        5: "",
+        6: None,
+        7: "</table><table><tr><td>q</td></tr>",
+    }
+    df = spark.createDataFrame(list(bodies.items()), "id int, h string")
+    got = {r.id: r.c for r in df.select("id", html_cells("h").alias("c")).collect()}
+    assert got[1] == [t for i in range(n) for t in ([[str(i), f"in {i}"]], [[f"in {i}"]])]
+    assert got[2][0] == [["out " + " ".join(map(str, range(n)))]] and got[2][1:] == [[[str(i)]] for i in range(n)]
+    assert [t[0][0].split() for t in got[3]] == [["a"] * (40 - i) for i in range(40)] + [["z"]]
+    assert got[4] == got[5] == [] and got[6] is None and got[7] == [[["q"]]]

@@ -137,36 +137,49 @@ def _cell_text(c: Column) -> Column:
     return F.btrim(F.regexp_replace(F.replace(unescape(bare), F.lit("\u00a0"), F.lit(" ")), "\\s+", " "))
 
 
+#: Pieces of a body that are gone through at a time: what grows is copied once for each of these, not for each piece.
+_PIECES = 256
+
+
 def _table_sources(html: str) -> Column:
     """Own markup of every table in document order, whatever the nesting.
 
     The body is cut at table tags. Each piece belongs to the innermost open table with its markup and
     to every table around that one as bare text, so a nested table shows as text in its outer cell.
+    One pass numbers the tables and says whose each piece is; sorted by table, a table's pieces are a run. The work is
+    that of the pieces times the depth of nesting.
     """
-    return F.expr(
-        rf"""
-        aggregate(
-          split({html}, '(?i)(?=<table\\b)|(?<=</table>)'),
-          named_struct('open', cast(array() as array<int>), 'made', 0,
-                       'parts', cast(array() as array<struct<t:int,s:string>>)),
-          (a, piece) -> named_struct(
-            'open', case
-               when rlike(piece, '(?i)^<table\\b') and not rlike(piece, '(?i)</table>$')
-                 then array_append(a.open, a.made)
-               when not rlike(piece, '(?i)^<table\\b') and rlike(piece, '(?i)</table>$')
-                 then slice(a.open, 1, greatest(size(a.open) - 1, 0))
-               else a.open end,
-            'made', a.made + if(rlike(piece, '(?i)^<table\\b'), 1, 0),
-            'parts', concat(a.parts, transform(
-               if(rlike(piece, '(?i)^<table\\b'), array_append(a.open, a.made), a.open),
-               (t, i) -> named_struct('t', t, 's',
-                 if(i = size(a.open) - if(rlike(piece, '(?i)^<table\\b'), 0, 1), piece,
-                    regexp_replace(piece, '<[^>]*>', ' ')))))),
-          a -> transform(
-            if(a.made = 0, cast(array() as array<int>), sequence(0, a.made - 1)),
-            t -> array_join(transform(filter(a.parts, p -> p.t = t), p -> p.s), '')))
-        """
-    )
+    part = "array<struct<t:int,n:int,s:string>>"
+    pieces = F.split(F.col(html), r"(?i)(?=<table\b)|(?<=</table>)")
+
+    def blocks(p: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(p) - 1) / _PIECES).cast("int")), lambda b: F.slice(p, b * _PIECES + 1, _PIECES))
+
+    def place(a: Column, piece: Column) -> Column:
+        def told(m: Column) -> Column:
+            begins, ends = m["begins"], m["ends"]
+            own = F.when(begins, F.array_append(a["open"], a["made"])).otherwise(a["open"])
+            left = F.when(begins & ~ends, own).when(~begins & ends, F.slice(a["open"], 1, F.greatest(F.size(a["open"]) - 1, F.lit(0)))).otherwise(a["open"])
+            bare = F.regexp_replace(piece, "<[^>]*>", " ")
+            shown = F.transform(own, lambda t, i: F.struct(t.alias("t"), a["n"].alias("n"), F.when(i == F.size(own) - 1, piece).otherwise(bare).alias("s")))
+            return F.struct(left.alias("open"), (a["made"] + begins.cast("int")).alias("made"), (a["n"] + 1).alias("n"), F.concat(a["parts"], shown).alias("parts"))
+
+        return bind(F.struct(piece.rlike(r"(?i)^<table\b").alias("begins"), piece.rlike("(?i)</table>$").alias("ends")), told)
+
+    def block(a: Column, some: Column) -> Column:
+        fresh = F.struct(a["open"].alias("open"), a["made"].alias("made"), a["n"].alias("n"), F.array().cast(part).alias("parts"))
+        done = F.reduce(some, fresh, place)
+        return bind(done, lambda r: F.struct(r["open"].alias("open"), r["made"].alias("made"), r["n"].alias("n"), F.array_append(a["parts"], r["parts"]).alias("parts")))
+
+    start = F.struct(F.array().cast("array<int>").alias("open"), F.lit(0).alias("made"), F.lit(0).alias("n"), F.array().cast(f"array<{part}>").alias("parts"))
+    parts = F.array_sort(F.flatten(F.reduce(bind(pieces, blocks), start, block)["parts"]))
+
+    def tables(ps: Column) -> Column:
+        first = F.filter(F.sequence(F.lit(0), F.size(ps) - 1), lambda i: (i == 0) | (F.get(ps, i)["t"] != F.get(ps, i - 1)["t"]))
+        return bind(first, lambda at: F.transform(at, lambda b, k: F.array_join(F.transform(F.slice(ps, b + 1, F.coalesce(F.get(at, k + 1), F.size(ps)) - b), lambda x: x["s"]), "")))
+
+    none = F.array().cast("array<string>")
+    return bind(parts, lambda ps: F.when(F.size(ps) > 0, tables(ps)).when(ps.isNotNull(), none))
 
 
 def html_cells(html: str) -> Column:
