@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import check
 import corpus_pipeline
-from tests.llm.test_operators import classes
+from tests.llm.test_operators import brute_lines, classes
 from tillroll.llm import langid, suite
 
 
@@ -70,6 +70,8 @@ def test_op9(spark, sf, documents):
         text = documents[r.doc_id].text
         assert r.n_lines == len(text.split("\n"))
         assert (r.n_deleted > 0) or r.text_sha256 == hashlib.sha256(text.encode()).hexdigest()
+    want = brute_lines([(i, d.text) for i, d in documents.items()])
+    assert {r.doc_id: (r.text_sha256, r.n_deleted) for r in rows} == {i: (hashlib.sha256(t.encode()).hexdigest(), n) for i, (t, n) in want.items()}
 
 
 def test_op10(spark, sf, documents):

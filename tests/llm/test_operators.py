@@ -488,6 +488,24 @@ def test_fingerprints_are_guaranteed():
         assert marks[0] & marks[1]
 
 
+def brute_lines(rows, least=50):
+    """``{id: (text, lines deleted)}``: every run of lines against the first one that equals it."""
+    first, want = {}, {}
+    for i, t in sorted(rows):
+        lines_, drop = t.split("\n"), set()
+        total = [0]
+        for x in lines_:
+            total.append(total[-1] + len(x.split()))
+        for s in range(len(lines_)):
+            for e in range(s + 1, len(lines_) + 1):
+                if total[e] - total[s] >= least:
+                    doc, end = first.setdefault(tuple(lines_[s:e]), (i, e))
+                    if doc != i or s >= end:
+                        drop.update(range(s, e))
+        want[i] = "\n".join(x for k, x in enumerate(lines_) if k not in drop), len(drop)
+    return want
+
+
 def test_line_dedup_is_brute_force(spark):
     """Any run of 50 words that stands earlier goes, also where parts of it stand first in another context."""
     r = random.Random(12)
@@ -497,19 +515,29 @@ def test_line_dedup_is_brute_force(spark):
         a, b, c, d = pool[4 * g : 4 * g + 4]
         rows += [(10 * g, "\n".join([a, b, c])), *((10 * g + i, "\n".join([f"own {g} {i}", a, b, c, d])) for i in (1, 2, 3))]
     rows += [(100 + i, "\n".join(r.choice(pool) for _ in range(r.randint(1, 14)))) for i in range(150)]
-    seen, want = set(), {}
-    for i, t in sorted(rows):
-        lines_, drop = t.split("\n"), set()
-        for s in range(len(lines_)):
-            for e in range(s + 1, len(lines_) + 1):
-                run = tuple(lines_[s:e])
-                if sum(len(x.split()) for x in run) >= 50:
-                    if run in seen:
-                        drop.update(range(s, e))
-                    seen.add(run)
-        want[i] = "\n".join(x for k, x in enumerate(lines_) if k not in drop), len(drop)
+    r.shuffle(pool)
+    rows += [(300 + i, "\n".join((r.choices(pool, k=r.randint(1, 3)) * r.randint(1, 30)) + r.choices(pool, k=2))) for i in range(60)]
     out = lines.drop_repeated_lines(frame(spark, rows, "doc_id long, text string")).collect()
-    assert {x.doc_id: (x.text, x.n_deleted) for x in out} == want
+    assert {x.doc_id: (x.text, x.n_deleted) for x in out} == brute_lines(rows)
+
+
+@pytest.mark.parametrize("period, times, left", [(1, 10, 10), (1, 11, 11), (1, 19, 19), (1, 20, 10), (1, 40, 10), (2, 5, 10), (2, 9, 18), (2, 10, 10), (2, 20, 10), (3, 4, 12), (3, 20, 12)])
+def test_a_text_that_repeats_itself_keeps_a_run(spark, period, times, left):
+    text = "\n".join([f"a{i} b c d e" for i in range(period)] * times)
+    rows = [(1, text), (2, "\n".join([f"z{i}" for i in range(70)]))]
+    out = {x.doc_id: x for x in lines.drop_repeated_lines(frame(spark, rows, "doc_id long, text string")).collect()}
+    assert {i: (x.text, x.n_deleted) for i, x in out.items()} == brute_lines(rows)
+    assert out[1].text == "\n".join(text.split("\n")[:left])
+
+
+def test_a_very_long_text_of_lines(spark):
+    once = [f"line {i} of a long text" for i in range(60_000)]
+    blank = [""] * 100_000
+    rows = [(1, "\n".join(once)), (2, "\n".join(["own words", *once[100:-100], *blank])), (3, "\n".join(blank))]
+    out = {x.doc_id: x for x in lines.drop_repeated_lines(frame(spark, rows, "doc_id long, text string")).collect()}
+    assert out[1].n_deleted == 0 and out[1].text == rows[0][1]
+    assert out[2].n_deleted == 59_800 and out[2].text == "\n".join(["own words", *blank])
+    assert out[3].n_deleted == 0
 
 
 def test_only_repeats_are_deleted(spark, docs):

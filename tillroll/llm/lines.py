@@ -4,8 +4,9 @@ Lines are hashed. From each line on, the shortest run of lines that holds ``min_
 shortest one that ends at each line; a fingerprint is the digest of a window's lines. Winnowing them is not possible
 without loss: a fingerprint of fewer words may stand first where less than a whole run is shared, and a run of just
 ``min_words`` words has one window only. Every line of a longer run lies in one of the run's windows. All occurrences of
-a fingerprint but the first in the corpus (by document id, then line) are deleted: what goes is always equal to lines
-that stand earlier, and the first occurrence of a window always has the whole of it.
+a fingerprint but the first in the corpus (by document id, then line) are deleted, unless they overlap the first: what
+goes is always equal to a whole run that stands earlier and apart from it, so a text that repeats itself keeps its first
+period whole.
 """
 
 from __future__ import annotations
@@ -95,9 +96,11 @@ def repeated_runs(df: DataFrame, min_words: int = MIN_WORDS, id: str = "doc_id",
                 )
 
     marks = docs.mapInArrow(mark, "id long, version long, begin int, end int, key long")
-    where = F.struct("id", "version", "begin")
+    where = F.struct("id", "version", "begin", "end")
     first = cut(marks.groupBy("key").agg(F.min(where).alias("first"), F.count("*").alias("n")).where("n > 1").select("key", "first"))
-    found = marks.join(first, "key").where(where != F.col("first"))
+    # the first occurrence overlaps itself, too
+    overlaps = (F.col("id") == F.col("first.id")) & (F.col("version") == F.col("first.version")) & (F.col("begin") < F.col("first.end"))
+    found = marks.join(first, "key").where(~overlaps)
     return found.groupBy(F.col("id").alias(id), "version").agg(F.collect_set(F.struct("begin", "end")).alias("runs"))
 
 
@@ -107,6 +110,9 @@ def drop_repeated_lines(df: DataFrame, min_words: int = MIN_WORDS, id: str = "do
     Null stays null and has no line; the empty text has one line. Rows that repeat id and text keep and lose the
     same lines; rows without an id are left as they are and are nobody's first occurrence. Columns named as the two
     new ones are replaced. A passage that any number of documents hold costs each of them a row, not each pair.
+
+    A line goes if a run of ``min_words`` words around it is equal to an earlier one that it does not overlap: of a
+    line that a text repeats on end, as many stay as hold ``min_words`` words, and more where the rest is too short.
     """
     runs = repeated_runs(df, min_words, id, text).withColumnsRenamed({id: "runs_id", "version": "runs_version"})
     kept = [c for c in df.columns if c not in ("n_lines", "n_deleted")]
