@@ -427,12 +427,12 @@ def _linked(docs: DataFrame, pairs: DataFrame, names: DataFrame, cells: DataFram
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                differ = map(_apart, *(batch.column(f"c_{x}").to_pylist() for x in "ab"))
-                differ = np.fromiter(differ, dtype=np.int64, count=batch.num_rows)
-                n = sum(batch.column(f"n_{x}").to_numpy().astype(np.int64) for x in "ab")
+            for part in slices(batch, "c_a"):
+                differ = map(_apart, *(part.column(f"c_{x}").to_pylist() for x in "ab"))
+                differ = np.fromiter(differ, dtype=np.int64, count=part.num_rows)
+                n = sum(part.column(f"n_{x}").to_numpy().astype(np.int64) for x in "ab")
                 ok = differ * (100 + percent) <= n * (100 - percent)
-                yield batch.select(["a", "b"]).filter(pa.array(ok))
+                yield part.select(["a", "b"]).filter(pa.array(ok))
 
     one, two = (cells.select(F.col("node").alias(x), F.col("size").alias(f"n_{x}"), F.col("cells").alias(f"c_{x}")) for x in "ab")
     close = cut(pairs.join(one, "a").join(two, "b").mapInArrow(near, "a long, b long"))
