@@ -20,10 +20,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     before = None
     while True:
         # a round starts from edges that point down (u > v)
-        both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = e.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("x")).select("x.*")
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
+        large = large.where("u <> v")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x"))
         e = cut(small.select("x.*").where("u <> v").distinct())
