@@ -386,7 +386,7 @@ def _across(members: DataFrame, known: DataFrame, cells: DataFrame, percent: int
     return found
 
 
-#: Documents of candidate pairs whose ids (16 bytes each) are broadcast to find their texts.
+#: Documents whose ids or digests (at most 17 bytes each) are broadcast to find or drop them.
 _FEW = 200_000
 
 
@@ -507,6 +507,8 @@ def drop_near_duplicates(df: DataFrame, width: int = 5, percent: int = 75) -> Da
     rows = rows.groupBy(F.col("doc").alias("x"), F.col("digest").alias("w"), "component").agg(F.count("*").alias("times"))
     first = (F.col("x") == F.col("component.doc")) & (F.col("w") == F.col("component.digest"))
     gone = cut(rows.where(~first | (F.col("times") > 1)).select("x", "w", first.alias("first")))
+    if gone.count() <= _FEW:
+        gone = F.broadcast(gone)
     keyed = df.select(F.struct(*df.columns).alias("row"), F.col("doc_id").cast("long").alias("x"), _digest().alias("w"))
     out = keyed.join(gone, ["x", "w"], "left_anti").select("row.*")
     twins = gone.where("first")
