@@ -7,6 +7,7 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 #: Bytes of text that a task turns into arrays at a time; a single longer text is one batch of its own.
 BATCH_BYTES = 2 << 20
 
+#: Spark's setting that deletes the shuffle files of a query as it ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _SHIPPED: set[str] = set()
 
 
@@ -47,7 +51,25 @@ def cut(df: DataFrame, eager: bool = True) -> DataFrame:
     Only a session without ``spark.checkpoint.dir`` (a test) gets a folder of its own.
     """
     work_folder(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    if not eager:  # its shuffle files are read later
+        return df.checkpoint(eager=False)
+    with _tidy(df.sparkSession):
+        return df.select("*").checkpoint()  # the setting holds for queries that are planned under it
+
+
+@contextmanager
+def _tidy(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what runs in here go as it ends, since what it stores takes their place. Otherwise they stay
+    until the driver collects its garbage, and small rounds add up. The session's own setting is put back."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -58,7 +80,8 @@ def stored(df: DataFrame) -> DataFrame:
 def kept(df: DataFrame) -> tuple[DataFrame, str]:
     """``df`` as a Parquet table in the shared folder, and its path, for :func:`emptied`."""
     path = f"{work_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with _tidy(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
