@@ -65,3 +65,14 @@ def test_rows_stay_where_they_are(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_a_repeated_table_is_never_broadcast(spark, monkeypatch):
+    """Before it is repeated it looks small enough for Spark to send it to every task by way of the driver."""
+    df = spark.createDataFrame([(i, f"v{i % 7}") for i in range(60)], "id int, c string")
+    table = spark.createDataFrame([(f"v{i}", i) for i in range(5)], "label string, idx int")
+    monkeypatch.setattr(lookup, "BROADCAST_ROWS", 1)
+    out = lookup.lookup(df, F.col("c"), table, "label", {"c_idx": "idx"})
+    assert sorted((r.id, r.c_idx) for r in out.collect()) == [(i, i % 7 if i % 7 < 5 else None) for i in range(60)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan

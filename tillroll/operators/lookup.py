@@ -36,6 +36,7 @@ def lookup(df: DataFrame, key: Column, table: DataFrame, on: str, values: Mappin
         return keyed.join(F.broadcast(side), same, "left").drop("_lookup_key", "_lookup_on")
     flat = [f.name for f in keyed.schema if isinstance(f.dataType, T.AtomicType)]
     salted = keyed.withColumn("_lookup_salt", F.pmod(F.xxhash64(*flat), F.lit(SALTS)).cast("int"))
-    each = side.withColumn("_lookup_part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    # Spark sizes the repeated table as if it were not repeated, and would broadcast what is 64 times as large
+    each = side.withColumn("_lookup_part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).hint("merge")
     joined = salted.join(each, same & (F.col("_lookup_salt") == F.col("_lookup_part")), "left")
     return joined.drop("_lookup_key", "_lookup_on", "_lookup_salt", "_lookup_part")
