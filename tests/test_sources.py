@@ -127,3 +127,38 @@ def test_own_extractor(spark, emails):
     plugin.register_extractor(spark, "own_receipt", _SubjectReceipt)
     got = plugin.extract_with(emails, "own_receipt", body="body_html")
     assert got.count() > 0 and got.where("merchant <> 'xsolla.com'").count() == 0
+
+
+def test_plain_mails_need_no_full_header_parser(monkeypatch):
+    """They give what the full parser gives; it is left to mails with parts, attachments or headers written otherwise."""
+    import email.message
+
+    import pandas as pd
+
+    heads = ["text/html; charset=utf-8", 'text/plain; charset="iso-8859-1"', "text/html", "text/html; charset=x-none", "text/html; charset=utf-8; format=flowed", "application/pdf", "TEXT/HTML"]
+    codings = ["", "Content-Transfer-Encoding: 8bit\r\n", "Content-Transfer-Encoding: base64\r\n", "Content-Transfer-Encoding: Quoted-Printable\r\n", "Content-Disposition: attachment\r\n"]
+    raw = [f"Subject: s\r\nContent-Type: {h}\r\n{c}\r\n".encode() + b for h in heads for c in codings for b in (b"", "<p>hé</p>\r\n".encode(), b"YQ==", b"\xff=3D")]
+    got = mails._bodies().func(pd.Series(raw)).where(lambda d: d.notna(), None).values.tolist()
+
+    def full(content):
+        try:
+            part = email.message_from_bytes(content, policy=email.policy.default).get_body()
+            if part is None:
+                return [None, None, "NoBody", email.message_from_bytes(content).get_content_type()]
+            text = part.get_content()
+            return [text, None, None, None] if part.get_content_subtype() == "html" else [None, text, None, None]
+        except Exception as e:
+            return [None, None, type(e).__name__, str(e)]
+
+    assert got == [full(r) for r in raw]
+    monkeypatch.setattr(email.message.MIMEPart, "get_body", None)
+    assert mails._bodies().func(pd.Series(raw[5:6])).error[0] is None
+
+
+def test_fullest_stream_keeps_its_state_in_the_engine(spark, tmp_path):
+    """A function call for every transaction took longer than the extraction itself."""
+    from tillroll.streaming.ingest import fullest_stream
+
+    (tmp_path / "in").mkdir()
+    plan = fullest_stream(mails.stream_emails(spark, str(tmp_path / "in")))._jdf.queryExecution().analyzed().toString()
+    assert "InPandas" not in plan and "Aggregate" in plan

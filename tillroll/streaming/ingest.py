@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tillroll.operators.extract import parse_receipts
 from tillroll.operators.route import PLACEHOLDER_IDS, dedup_transactions
@@ -48,40 +46,25 @@ _WANTED = ("trx_id", "date", "merchant", "amount", "currency")
 
 def fullest_stream(emails: DataFrame, rules: Sequence[Rule] | None = None, delay: str = "30 days") -> DataFrame:
     """Transactions of a mail stream that carries ``ingest_ts``: the first copy of each, and any later one that is more
-    complete, or as complete with a smaller message id.
+    complete, or as complete with a smaller message id. To be written in update mode.
 
-    The state of a key is how complete its best copy is and that copy's message; it expires ``delay`` after the last copy
-    arrived. So the sink holds the fullest copy whatever the order of arrival, and few others; :func:`fullest` reads it.
+    The state of a key is its best copy, remembered for at least ``delay`` after a copy arrived. So the sink holds the fullest
+    copy whatever the order of arrival, and few others; :func:`fullest` reads it. Each copy counts in two windows of twice
+    the delay; the one in whose second half it arrived, which reaches back far enough, says whether it is the best.
     """
     rules = tuple(rules or all_rules())
     lacks = sum((F.col(c).isNull().cast("int") for c in _WANTED), F.lit(0))
     found = parse_receipts(emails, rules, keep=("ingest_ts",), outer=False)
-    found = found.withColumns({"dedup_key": dedup_key(rules), "lacks": lacks}).withWatermark("ingest_ts", delay)
+    # the time of the batch tells copies that arrive now from those in the state
+    found = found.withColumns({"dedup_key": dedup_key(rules), "lacks": lacks, "seen": F.current_timestamp()}).withWatermark("ingest_ts", delay)
     names = TRANSACTIONS.fieldNames()
-    seconds = found.sparkSession.sql(f"SELECT CAST(to_timestamp('1970-01-01') + INTERVAL {delay} AS DOUBLE) - CAST(to_timestamp('1970-01-01') AS DOUBLE)").first()[0]
-
-    def best(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        known = state.get if state.exists else None
-        kept, last = None, None
-        for rows in parts:
-            order = rows.sort_values(["lacks", "message_id"], kind="stable")
-            rank = (int(order["lacks"].iloc[0]), order["message_id"].iloc[0])
-            if known is None or rank < tuple(known):
-                known, kept = rank, order.iloc[:1]
-            newest = rows["ingest_ts"].max()
-            last = newest if last is None else max(last, newest)
-        state.update(tuple(known))
-        watermark = state.getCurrentWatermarkMs()
-        state.setTimeoutTimestamp(max(int(last.timestamp() * 1000 + seconds * 1000), watermark + 1))
-        if kept is not None:
-            yield kept[names]
-
-    return found.groupBy("provider", "dedup_key").applyInPandasWithState(
-        best, TRANSACTIONS, "lacks int, message_id string", "append", GroupStateTimeout.EventTimeTimeout
-    )
+    length = found.sparkSession.sql(f"SELECT unix_micros(to_timestamp('1970-01-01T00:00:00Z') + INTERVAL {delay})").first()[0]
+    back = F.window("ingest_ts", f"{2 * length} microseconds", f"{length} microseconds")
+    rest = [c for c in names if c != "message_id"]
+    best = F.min(F.struct("lacks", "message_id", "seen", F.col("ingest_ts").cast("timestamp").alias("arrived"), *rest))
+    known = found.groupBy("provider", "dedup_key", back.alias("back")).agg(best.alias("best"))
+    late = F.unix_micros("best.arrived") - F.unix_micros("back.start") >= length
+    return known.where((F.col("best.seen") == F.current_timestamp()) & late).select(*(F.col(f"best.{c}").alias(c) for c in names))
 
 
 def fullest(spark: SparkSession, sink: str, rules: Sequence[Rule] | None = None) -> DataFrame:
@@ -104,20 +87,16 @@ def stream_extract(
     """Read what is new under ``path``, extract it, append it to the Parquet folder ``sink``, stop.
 
     ``keep`` says which copy of a transaction is kept: the ``first`` to arrive, one row each, or the ``fullest``, which
-    :func:`fullest` reads from the sink as ``dedup_transactions`` would choose it.
+    :func:`fullest` reads from the sink as ``dedup_transactions`` would choose it. For the latter a batch that is done again
+    after a failure may append its rows again, which :func:`fullest` reads through.
 
     ``fmt`` is ``parquet`` (EMAILS files) or ``eml``. Each stream has a ``checkpoint`` folder of its own; run
     again with the same one to go on.
     """
     read = {"parquet": stream_emails, "eml": stream_eml}[fmt]
     kept = {"first": extract_stream, "fullest": fullest_stream}[keep]
-    found = kept(read(spark, path, files_per_trigger), rules, delay)
-    return (
-        found.select(*TRANSACTIONS.fieldNames())
-        .writeStream.format("parquet")
-        .option("path", sink)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .outputMode("append")
-        .start()
-    )
+    found = kept(read(spark, path, files_per_trigger), rules, delay).select(*TRANSACTIONS.fieldNames())
+    stream = found.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    if keep == "fullest":
+        return stream.foreachBatch(lambda batch, _: batch.write.mode("append").parquet(sink)).outputMode("update").start()
+    return stream.format("parquet").option("path", sink).outputMode("append").start()
