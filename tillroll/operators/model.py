@@ -185,6 +185,17 @@ def unknown_categories(df: DataFrame, label: str = "category", domain: Sequence[
     return df.where(F.col(label).isNotNull() & ~F.col(label).isin(*domain)).groupBy(label).agg(F.count("*").alias("n"))
 
 
+#: Bytes of dense vectors that a task of the network's training reads in each step.
+TRAINING_BYTES = 128 << 20
+
+
+def _dealt(ready: DataFrame, width: int) -> DataFrame:
+    """Rows over so many tasks that each has at most about ``TRAINING_BYTES`` of them as dense vectors, as the network keeps
+    them: stored files are sparse and packed, and a task's share would grow with the rows. Small tables stay as they are."""
+    tasks = -(-ready.count() * width * 8 // TRAINING_BYTES)
+    return ready.repartition(tasks) if tasks > ready.sparkSession.sparkContext.defaultParallelism else ready
+
+
 def train_category_model(
     df: DataFrame,
     kind: str = "logistic",
@@ -230,7 +241,9 @@ def train_category_model(
             learner = learner.setWeightCol("weight")
         grid = ParamGridBuilder().addGrid(learner.regParam, [1e-4, 1e-3, 1e-2]).build()
     else:
-        learner = MultilayerPerceptronClassifier(layers=[features.width, *hidden, len(domain)], maxIter=max_iter, seed=seed)
+        width = features.width
+        ready = _dealt(ready, width)
+        learner = MultilayerPerceptronClassifier(layers=[width, *hidden, len(domain)], maxIter=max_iter, seed=seed)
         grid = ParamGridBuilder().addGrid(learner.maxIter, [max_iter // 2 or 1, max_iter]).build()
 
     if validate > 0:
