@@ -22,8 +22,8 @@ def test_bodies_are_made_for_those_who_read_them(spark, sf):
 def test_claims_are_decided_before_bodies_are_made(spark, sf):
     own = [r for r in all_rules() if r.provider == "gofood"]
     plan = optimized(extract.extract_transactions(render_emails(spark, sf), own)).split("\n")
-    made = next(i for i, line in enumerate(plan) if "</body></html>" in line)
-    assert any("Filter" in line and "gofood" in line for line in plan[made + 1 :])  # below it
+    line = lambda *words: next(i for i, text in enumerate(plan) if all(w in text for w in words))
+    assert line("</body></html>") < line("Filter", "size(") < line("Repartition")  # from the last step to the first
 
 
 def test_large_inputs_are_dealt_over_more_tasks(spark):
