@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer, Normalizer, SQLTransformer
 from pyspark.ml.functions import vector_to_array
@@ -93,17 +93,21 @@ def train_title_model(
     Averaging the tokens of a title is what a mean-pooled embedding does; the linear layer on top is
     trained by Spark over partitions, with one gradient per step sent to the driver.
     """
-    data = df.select(F.col(title).alias("title"), F.col(label).cast("double").alias("label"))
-    stages = [
-        SQLTransformer(statement=_tokens_sql("title", "title_tokens")),
-        CountVectorizer(inputCol="title_tokens", outputCol="title_counts", vocabSize=vocabulary - 2),
-        Normalizer(inputCol="title_counts", outputCol="title_mean", p=1.0),
-        LogisticRegression(
-            featuresCol="title_mean", labelCol="label", regParam=1e-4, maxIter=50,
-            probabilityCol="title_probability", rawPredictionCol="title_raw", predictionCol="title_prediction",
-        ),
-    ]
-    return Pipeline(stages=stages).fit(data)
+    tokenised = SQLTransformer(statement=_tokens_sql("title", "title_tokens"))
+    counted = CountVectorizer(inputCol="title_tokens", outputCol="title_counts", vocabSize=vocabulary - 2)
+    mean = Normalizer(inputCol="title_counts", outputCol="title_mean", p=1.0)
+    regression = LogisticRegression(
+        featuresCol="title_mean", labelCol="label", regParam=1e-4, maxIter=50,
+        probabilityCol="title_probability", rawPredictionCol="title_raw", predictionCol="title_prediction",
+    )
+    data = tokenised.transform(df.select(F.col(title).alias("title"), F.col(label).cast("double").alias("label")))
+    # kept while fitting: the vocabulary, the scales and the regression each go through all titles
+    tokens = data.select("label", "title_tokens").persist()
+    try:
+        counts = counted.fit(tokens)
+        return PipelineModel([tokenised, counts, mean, regression.fit(mean.transform(counts.transform(tokens)))])
+    finally:
+        tokens.unpersist()
 
 
 def score_titles(
