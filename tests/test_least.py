@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tests.conftest import mail
+from tillroll.functions.html import html_to_text
 from tillroll.functions.text import switch
 from tillroll.operators import extract
 from tillroll.plans.rule import all_rules
@@ -32,3 +33,15 @@ def test_a_case_is_found_by_halving(spark):
     names = spark.createDataFrame([("a",), ("b",), ("é",), ("",), (None,)], "k string")
     got = {r.k: r.c for r in names.select("k", switch(F.col("k"), {n: F.lit(n) for n in ("é", "b", "a")}).alias("c")).collect()}
     assert got == {"a": "a", "b": "b", "é": "é", "": None, None: None}
+
+
+def test_blocks_and_line_ends(spark):
+    rows = [
+        ("<pre>a</pre><prex>b</prex>", "a\n\nb"),
+        ("a <br> b <br> c", "a\nb\nc"),
+        ("x<ADDRESS>a</Article>b<form x>c</footer>d<font>e", "x\n\na\n\nb\n\nc\n\nde"),
+        ("<ul>a</ol>b<dl>c<section>d<blockquote>e<body>f<header>g", "a\n\nb\n\nc\n\nd\n\ne\n\nf\n\ng"),
+        ("a&nbsp;&amp;nbsp;&#38;b", "a &nbsp;&b"),
+    ]
+    d = spark.createDataFrame(rows, "html string, want string")
+    assert [r.got for r in d.select(html_to_text(F.col("html")).alias("got")).collect()] == [w for _, w in rows]
