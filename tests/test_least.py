@@ -1,11 +1,12 @@
 """Steps that are left out where their result is settled already."""
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tests.conftest import mail
 from tillroll.functions.html import html_to_text
 from tillroll.functions.text import switch
-from tillroll.operators import extract
+from tillroll.operators import extract, plugin
 from tillroll.plans.rule import all_rules
 
 
@@ -45,3 +46,27 @@ def test_blocks_and_line_ends(spark):
     ]
     d = spark.createDataFrame(rows, "html string, want string")
     assert [r.got for r in d.select(html_to_text(F.col("html")).alias("got")).collect()] == [w for _, w in rows]
+
+
+def test_batches_with_many_faults_are_not_read_again_and_again(spark):
+    """Of 4,096 mails every 32nd is bad: each is read a few times, not once for every halving of the batch."""
+    read = spark.sparkContext.accumulator(0)
+
+    def extractor(mails: pa.RecordBatch):
+        read.add(mails.num_rows)
+        titles = mails.column("subject").to_pylist()
+        if any(t.endswith("bad") for t in titles):
+            raise ValueError([t for t in titles if t.endswith("bad")][0])
+        return [[{"trx_id": t}] for t in titles]
+
+    title = F.concat(F.col("id").cast("string"), F.when(F.col("id") % 32 == 31, "bad").otherwise(""))
+    mails = spark.range(0, 4096, 1, 1).select(F.col("id").cast("string").alias("message_id"), title.alias("subject"), F.lit("a@b").alias("from_addr"), F.lit("").alias("body_text"))
+    plugin.register_extractor(spark, "least", extractor, "trx_id string")
+    rows = plugin.outcomes_with(mails, "least").collect()
+    assert [r.message_id for r in rows] == [str(i) for i in range(4096)]
+    for i, r in enumerate(rows):
+        if i % 32 == 31:
+            assert r.rows is None and (r.fault.stage, r.fault.error, r.fault.detail) == ("plugin", "ValueError", f"{i}bad")
+        else:
+            assert r.fault is None and [x.trx_id for x in r.rows] == [str(i)]
+    assert read.value <= 8 * 4096
