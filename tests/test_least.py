@@ -45,6 +45,8 @@ def test_blocks_and_line_ends(spark):
         ("a&nbsp;&amp;nbsp;&#38;b", "a &nbsp;&b"),
     ]
     d = spark.createDataFrame(rows, "html string, want string")
+    plan = d.select(html_to_text(F.col("html")))._jdf.queryExecution().optimizedPlan().toString()
+    assert all(f"contains(namedlambdavariable(), {c}) THEN replace(" in plan for c in ("&nbsp;", "\u00a0"))
     assert [r.got for r in d.select(html_to_text(F.col("html")).alias("got")).collect()] == [w for _, w in rows]
 
 
