@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,8 +50,11 @@ def fullest_stream(emails: DataFrame, rules: Sequence[Rule] | None = None, delay
     complete, or as complete with a smaller message id. To be written in update mode.
 
     The state of a key is its best copy, remembered for at least ``delay`` after a copy arrived. So the sink holds the fullest
-    copy whatever the order of arrival, and few others; :func:`fullest` reads it. Each copy counts in two windows of twice
-    the delay; the one in whose second half it arrived, which reaches back far enough, says whether it is the best.
+    copy whatever the order of arrival, and few others; :func:`fullest` reads it. Windows of three times the delay begin every
+    second delay; the one that reaches back from a copy's arrival for a delay says whether it is the best. Every second delay
+    copies count in two windows, else in one: longer windows hold their copies longer, shorter ones hold more of them twice.
+
+    State has as many rows as there are keys: have it kept on disk, as :func:`stream_extract` does.
     """
     rules = tuple(rules or all_rules())
     lacks = sum((F.col(c).isNull().cast("int") for c in _WANTED), F.lit(0))
@@ -59,7 +63,7 @@ def fullest_stream(emails: DataFrame, rules: Sequence[Rule] | None = None, delay
     found = found.withColumns({"dedup_key": dedup_key(rules), "lacks": lacks, "seen": F.current_timestamp()}).withWatermark("ingest_ts", delay)
     names = TRANSACTIONS.fieldNames()
     length = found.sparkSession.sql(f"SELECT unix_micros(to_timestamp('1970-01-01T00:00:00Z') + INTERVAL {delay})").first()[0]
-    back = F.window("ingest_ts", f"{2 * length} microseconds", f"{length} microseconds")
+    back = F.window("ingest_ts", f"{3 * length} microseconds", f"{2 * length} microseconds")
     rest = [c for c in names if c != "message_id"]
     best = F.min(F.struct("lacks", "message_id", "seen", F.col("ingest_ts").cast("timestamp").alias("arrived"), *rest))
     known = found.groupBy("provider", "dedup_key", back.alias("back")).agg(best.alias("best"))
@@ -67,6 +71,29 @@ def fullest_stream(emails: DataFrame, rules: Sequence[Rule] | None = None, delay
     return known.where((F.col("best.seen") == F.current_timestamp()) & late).select(*(F.col(f"best.{c}").alias(c) for c in names))
 
 
+#: The state of the fullest copies is on the executors' disks, with bounded memory; it would outgrow their heaps. Counting its
+#: rows would look up each a second time.
+_STORE = "spark.sql.streaming.stateStore."
+_ON_DISK = {
+    f"{_STORE}providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    f"{_STORE}rocksdb.boundedMemoryUsage": "true",
+    f"{_STORE}rocksdb.trackTotalNumberOfRows": "false",
+}
+
+
+@contextmanager
+def _state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """For queries started within; what the caller has set stays, and a begun stream goes on with the store it began with."""
+    own = {k: v for k, v in _ON_DISK.items() if spark.conf.get(k, None) is None}
+    for k, v in own.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k in own:
+            spark.conf.unset(k)
+
+
 def fullest(spark: SparkSession, sink: str, rules: Sequence[Rule] | None = None) -> DataFrame:
     """The most complete copy of each transaction that a stream with ``keep="fullest"`` has written."""
     return dedup_transactions(spark.read.parquet(sink), rules=rules)
@@ -88,7 +115,7 @@ def stream_extract(
 
     ``keep`` says which copy of a transaction is kept: the ``first`` to arrive, one row each, or the ``fullest``, which
     :func:`fullest` reads from the sink as ``dedup_transactions`` would choose it. For the latter a batch that is done again
-    after a failure may append its rows again, which :func:`fullest` reads through.
+    after a failure may append its rows again, which :func:`fullest` reads through, and state is kept on disk.
 
     ``fmt`` is ``parquet`` (EMAILS files) or ``eml``. Each stream has a ``checkpoint`` folder of its own; run
     again with the same one to go on.
@@ -98,5 +125,6 @@ def stream_extract(
     found = kept(read(spark, path, files_per_trigger), rules, delay).select(*TRANSACTIONS.fieldNames())
     stream = found.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if keep == "fullest":
-        return stream.foreachBatch(lambda batch, _: batch.write.mode("append").parquet(sink)).outputMode("update").start()
+        with _state_on_disk(spark):
+            return stream.foreachBatch(lambda batch, _: batch.write.mode("append").parquet(sink)).outputMode("update").start()
     return stream.format("parquet").option("path", sink).outputMode("append").start()
